@@ -21,7 +21,7 @@ TS = "timestamp"
 ROWS_PER_SLICE = 4096
 BLOCK_HOURS = 4096
 
-_BLOCK, _POS, _SLICE, _OWN = "__block", "__pos", "__slice", "__own"
+_BLOCK, _POS, _SLICE, _OWN, _SEC = "__block", "__pos", "__slice", "__own", "__sec"
 
 
 def seconds(ts: str = TS) -> Column:
@@ -66,7 +66,7 @@ def slice_by_rows(
     return (
         placed.withColumn("__home", home)
         .withColumn(_SLICE, F.explode(F.sequence(first, last)))
-        .withColumn(_OWN, F.col("__home") == F.col(_SLICE))
+        .withColumns({_OWN: F.col("__home") == F.col(_SLICE), _SEC: seconds(ts)})
         .drop(_POS, "__home")
     )
 
@@ -83,18 +83,21 @@ def slice_by_hours(
     return (
         df.withColumn("__home", home)
         .withColumn(_SLICE, F.explode(F.sequence(first, last)))
-        .withColumn(_OWN, F.col("__home") == F.col(_SLICE))
+        .withColumns({_OWN: F.col("__home") == F.col(_SLICE), _SEC: seconds(ts)})
         .drop("__home")
     )
 
 
-def in_slice(keys: Sequence[str] = SERIES, ts: str = TS) -> WindowSpec:
-    """The one window specification every sliced operator shares: one exchange, one sort."""
-    return Window.partitionBy(*keys, _SLICE).orderBy(seconds(ts))
+def in_slice(keys: Sequence[str] = SERIES) -> WindowSpec:
+    """The one window specification every sliced operator shares: one exchange, one sort.
+
+    It orders by a column of whole seconds, which serves ROWS and RANGE frames alike.
+    """
+    return Window.partitionBy(*keys, _SLICE).orderBy(_SEC)
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(_OWN)).drop(_SLICE, _OWN)
+    return df.filter(F.col(_OWN)).drop(_SLICE, _OWN, _SEC)
 
 
 def over_rows(
@@ -108,7 +111,7 @@ def over_rows(
 ) -> DataFrame:
     """Runs `apply` on the sliced frame and returns only the rows each slice owns."""
     sliced = slice_by_rows(df, back, ahead, keys, ts, rows_per_slice)
-    return drop_halo(apply(sliced, in_slice(keys, ts)))
+    return drop_halo(apply(sliced, in_slice(keys)))
 
 
 def over_hours(
@@ -121,4 +124,4 @@ def over_hours(
     slice_hours: int = BLOCK_HOURS,
 ) -> DataFrame:
     sliced = slice_by_hours(df, back_hours, ahead_hours, ts, slice_hours)
-    return drop_halo(apply(sliced, in_slice(keys, ts)))
+    return drop_halo(apply(sliced, in_slice(keys)))

@@ -35,17 +35,17 @@ def build_features(
     fill_back, fill_ahead = impute_halo()
     back = max(*options.lag_hours, *(s.rows for s in options.rolling), fill_back + 24)
     sliced = slice_by_rows(joined, back, fill_ahead, rows_per_slice=options.rows_per_slice)
-    # After the slices are cut, so the cheap columns are computed rather than shuffled.
-    out = add_calendar(sliced, options.timezone, options.eve_mode, extra_holidays)
     w = in_slice()
-    if options.eve_mode == "row":
-        out = out.withColumn("is_holiday_eve", eve_column(w))
-    out = lag_columns(out, w, "value", options.lag_hours)
+    out = lag_columns(sliced, w, "value", options.lag_hours)
     out = rolling_columns(out, w, "value", options.rolling)
     out = impute_columns(out, w)
     out = out.withColumn(
         "temperature_lag_24h", temperature_lag_column(w, options.temperature_lag_time_exact)
     )
+    # Calendar columns come last: they are computed where the rows are and never shuffled.
+    out = add_calendar(out, options.timezone, options.eve_mode, extra_holidays)
+    if options.eve_mode == "row":
+        out = out.withColumn("is_holiday_eve", eve_column(w))
     out = drop_halo(out)
     return out if built_at is None else out.withColumn("feature_built_at", built_at)
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
+from hourline.workload import features  # noqa: F401  (importing registers)
 from hourline.workload.base import ORACLES, QUERIES
-from hourline.workload import (  # noqa: F401  (importing registers)
-    accuracy, drift, features, models, panels, quality, storage, streams,
-)
 
 __all__ = ["QUERIES", "ORACLES"]
