@@ -170,14 +170,14 @@ def union_by_name(spark, sf):
 
 
 def landed(spark, sf, directory):
-    """Writes the load as JSON files the way the feed would: one array per file, here one file per day."""
+    """Writes the load as JSON files the way the feed would, one array per file: a file per series and day."""
     row = F.struct(
         F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "series_id", "value",
         F.lit("feed").alias("source"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
     )
     day = F.date_format("timestamp", "yyyy-MM-dd").alias("day")
-    by_day = load(spark, sf).groupBy(day).agg(F.to_json(F.collect_list(row)).alias("value"))
-    by_day.write.partitionBy("day").text(directory)
+    by_day = load(spark, sf).groupBy(F.col("series_id").alias("series"), day).agg(F.to_json(F.collect_list(row)).alias("value"))
+    by_day.write.partitionBy("series", "day").text(directory)
 
 
 @query(
