@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from hourline.config import (
     CV_FOLDS, CV_GAP, CV_TEST, MIN_TRAINING_ROWS, MODEL_FEATURES, TEST_DAYS, TUNING_SECONDS, TUNING_TRIALS, VAL_DAYS,
 )
+from hourline.functions.scalar import as_time, hours_before
 from hourline.operators.metrics import cv_mae, naive_metrics, regression_metrics
 from hourline.operators.windows import add_target
 from hourline.plans.splits import holdout_split, ts_folds
@@ -70,6 +71,32 @@ class Trained:
         }
 
 
+def save_model(trained: Trained, path: str) -> str:
+    """Stores the fitted stages under a path any later session can load."""
+    trained.model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def direct_forecast(model: PipelineModel, features: DataFrame, run_at, horizon: int) -> DataFrame:
+    """Predictions for the next `horizon` hours from the feature rows of the last `horizon` hours.
+
+    The model predicts the value `horizon` hours after its features, so every input is measured, none
+    is assumed. `forecast.shape_forecasts` files the rows with `target_hours_ahead=horizon`.
+    """
+    now = as_time(run_at)
+    recent = features.filter((F.col("timestamp") > hours_before(now, horizon)) & (F.col("timestamp") <= now))
+    columns = model.stages[0].getInputCols()
+    kinds = dict(features.dtypes)
+    numeric = [
+        (F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)).cast("double").alias(c) for c in columns
+    ]
+    return model.transform(recent.select("series_id", "timestamp", *numeric).na.drop(subset=columns))
+
+
 def _checkpointing(spark: SparkSession) -> None:
     """Long boosting lineages are cut in the shared folder; a folder the cluster has set stays."""
     if not spark.sparkContext.getCheckpointDir():

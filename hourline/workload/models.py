@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourline.operators.metrics import regression_metrics
 from hourline.plans import forecast, ml, panels, runs, splits
-from hourline.session import written
+from hourline.session import scratch_path, written
 from hourline.workload.base import MODEL_RUNS, NOW, NOW_SQL, model_runs, query, sql
 from hourline.workload.features import matrix
 
@@ -187,16 +187,26 @@ def tuned(spark, sf):
 
 @query("m13_gbt_forecast_rows")
 def gbt_forecasts(spark, sf):
-    """Train, build the future frame, forecast: the rows the forecast table receives."""
+    """Train on the whole matrix and forecast the day after its newest hour from measured features."""
     features = written(matrix(spark, sf), "features")
     trained = ml.train_gbt(features, 24, SMALL, INPUTS, min_rows=200, patience=3)
-    ahead = forecast.future_features(features, "2024-01-30 12:00:00", 24)
-    ready = ahead.select("series_id", "timestamp", *[F.col(c).cast("double").alias(c) for c in INPUTS]).na.drop()
+    path = ml.save_model(trained, scratch_path(spark, "gbt_24h"))
+    predicted = ml.direct_forecast(ml.load_model(path), features, "2024-01-30 23:00:00", 24)
     return forecast.shape_forecasts(
-        trained.model.transform(ready), "gbt_24h", "run-1", 24, "2024-01-30 12:00:00", "run-1", target_hours_ahead=24
+        predicted, "gbt_24h", "run-1", 24, "2024-01-30 23:00:00", "run-1", target_hours_ahead=24
     )
 
 
+@query("m11_m13_gbt_future_rows")
+def gbt_future(spark, sf):
+    """The same model over the future frame, filed under the hours of the frame."""
+    features = written(matrix(spark, sf), "features")
+    trained = ml.train_gbt(features, 24, SMALL, INPUTS, min_rows=200, patience=3)
+    ahead = forecast.future_features(features, "2024-01-30 12:00:00", 24)
+    ready = ahead.select("series_id", "timestamp", *[F.col(c).cast("double").alias(c) for c in INPUTS]).na.drop()
+    return forecast.shape_forecasts(trained.model.transform(ready), "gbt_24h", "run-1", 24, "2024-01-30 12:00:00", "run-1")
+
+
 @query("m24_feature_importance")
 def importance(spark, sf):
     features = written(matrix(spark, sf), "features")
