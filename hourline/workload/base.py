@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourline.functions.exact import dec, exact_mean, exact_sum
-from hourline.session import use_utc
+from hourline.session import use_utc, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,6 +217,11 @@ def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run records as the stored table that evaluation and promotion read several times."""
+    return written(model_runs(spark, sf_dir), "runs")
+
+
 MODEL_RUNS = f"""{FORECASTS},
 scored AS (
   SELECT model_name, horizon_hours, date_trunc('week', forecast_run_at) AS started_at,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hourline.operators.metrics import regression_metrics
 from hourline.plans import forecast, ml, panels, runs, splits
 from hourline.session import scratch_path, written
-from hourline.workload.base import MODEL_RUNS, NOW, NOW_SQL, model_runs, query, sql
+from hourline.workload.base import MODEL_RUNS, NOW, NOW_SQL, checks, model_runs, query, sql, stored_runs
 from hourline.workload.features import matrix
 
 EVALUATED = f"""{MODEL_RUNS},
@@ -26,7 +26,7 @@ evaluation AS (
 
 
 def evaluated(spark, sf):
-    return runs.champion_challenger(model_runs(spark, sf), NOW)
+    return runs.champion_challenger(stored_runs(spark, sf), NOW)
 
 
 @query("m16_m17_j09_champion_challenger", sql(EVALUATED, "SELECT * FROM evaluation"))
@@ -61,7 +61,8 @@ decisions AS (
 
 
 def decided(spark, sf):
-    return runs.decide_promotions(evaluated(spark, sf), model_runs(spark, sf))
+    stored = stored_runs(spark, sf)
+    return runs.decide_promotions(runs.champion_challenger(stored, NOW), stored)
 
 
 @query("m19_f13_promotion_decisions", sql(DECIDED, "SELECT * FROM decisions"))
@@ -77,7 +78,7 @@ def decisions(spark, sf):
       CASE WHEN run_id IN (SELECT challenger_run_id FROM decisions WHERE should_promote) THEN {NOW_SQL} END AS promoted_at FROM model_runs"""),
 )
 def promoted_runs(spark, sf):
-    all_runs = written(model_runs(spark, sf), "runs").withColumn("promoted_at", F.lit(None).cast("timestamp"))
+    all_runs = stored_runs(spark, sf).withColumn("promoted_at", F.lit(None).cast("timestamp"))
     evaluation = runs.champion_challenger(all_runs, NOW)
     chosen = runs.decide_promotions(evaluation, all_runs)
     tagged, _ = runs.apply_promotions(chosen, all_runs, evaluation, NOW)
@@ -93,8 +94,6 @@ log AS (
 
 
 def logged(spark, sf):
-    from hourline.workload.base import checks
-
     pending = checks(spark, sf).filter("retrain_triggered").select(
         F.split("drifted_features", ",").alias("drifted_features")
     )

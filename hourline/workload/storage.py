@@ -12,7 +12,7 @@ from hourline.functions.scalar import as_time
 from hourline.session import scratch_path
 from hourline.sources import flags, landing, payloads, tables, upsert
 from hourline.workload.base import (
-    CHECKS, LOAD, NOW, NOW_SQL, WEATHER, checks, forecasts, FORECASTS, load, model_runs, MODEL_RUNS, query, sql, weather,
+    CHECKS, LOAD, NOW, NOW_SQL, WEATHER, checks, forecasts, FORECASTS, load, MODEL_RUNS, query, sql, stored_runs, weather,
 )
 from hourline.workload.features import MATRIX
 
@@ -130,7 +130,7 @@ def backfilled(spark, sf):
       CASE WHEN run_id IN (SELECT run_id FROM model_runs WHERE mape > naive_mape) THEN FALSE ELSE production END AS production FROM model_runs"""),
 )
 def update_by_decisions(spark, sf):
-    runs = model_runs(spark, sf)
+    runs = stored_runs(spark, sf)
     worse = runs.filter(F.col("mape") > F.col("naive_mape")).select(F.col("run_id").alias("bad_run"))
     return upsert.update_where(
         runs.select("run_id", "model_name", "started_at", "production"), worse, {"run_id": "bad_run"}, {"production": F.lit(False)}
