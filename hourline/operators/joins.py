@@ -66,7 +66,11 @@ def lookup_at(
     sent = history.select(
         *keys, TS, F.col(column).alias("__v"), F.explode(F.array(*[F.lit(h) for h in hours])).alias("__h")
     ).withColumn(TS, F.timestamp_add("HOUR", F.col("__h"), F.col(TS)))
-    picks = [F.max(F.when(F.col("__h") == h, F.struct("__v"))).alias(f"__{n}") for h, n in zip(hours, names)]
+    # An hour that is there without a value is not an hour that is absent, so presence is kept apart.
+    picks = []
+    for h, n in zip(hours, names):
+        here = F.col("__h") == h
+        picks += [F.max(F.when(here, F.col("__v"))).alias(f"__v_{n}"), F.count_if(here).alias(f"__n_{n}")]
     found = sent.groupBy(*keys, TS).agg(*picks)
     out = df.join(found, [*keys, TS], "left")
     if fallback:
@@ -75,13 +79,9 @@ def lookup_at(
             F.max_by(F.when(known, F.col(column)), F.when(known, F.col(TS))).alias("__last")
         )
         out = out.join(last, keys, "left")
-    values = {
-        n: F.when(F.col(f"__{n}").isNotNull(), F.col(f"__{n}").getField("__v")).otherwise(
-            F.col("__last") if fallback else F.lit(None).cast("double")
-        )
-        for n in names
-    }
-    return out.withColumns(values).drop(*[f"__{n}" for n in names], "__last")
+    absent = F.col("__last") if fallback else F.lit(None).cast("double")
+    values = {n: F.when(F.col(f"__n_{n}") > 0, F.col(f"__v_{n}")).otherwise(absent) for n in names}
+    return out.withColumns(values).drop(*[f"__{p}_{n}" for p in "vn" for n in names], "__last")
 
 
 def weather_proxy(
@@ -93,14 +93,15 @@ def weather_proxy(
 ) -> DataFrame:
     """Weather of the same hour `days` ago for all columns in one join, else that of the last row."""
     keys = list(keys)
-    bundle = F.struct(*columns)
     then = history.select(
-        *keys, F.timestamp_add("HOUR", F.lit(24 * days), F.col(TS)).alias(TS), bundle.alias("__then")
+        *keys, F.timestamp_add("HOUR", F.lit(24 * days), F.col(TS)).alias(TS), F.lit(True).alias("__then"),
+        *[F.col(c).alias(f"__then_{c}") for c in columns],
     )
-    last = history.groupBy(*keys).agg(F.max_by(bundle, F.col(TS)).alias("__last"))
+    last = history.groupBy(*keys).agg(*[F.max_by(c, TS).alias(f"__last_{c}") for c in columns])
     out = future.drop(*columns).join(then, [*keys, TS], "left").join(last, keys, "left")
-    pick = F.coalesce(F.col("__then"), F.col("__last"))
-    return out.withColumns({c: pick.getField(c) for c in columns}).drop("__then", "__last")
+    found = F.col("__then").isNotNull()
+    picked = {c: F.when(found, F.col(f"__then_{c}")).otherwise(F.col(f"__last_{c}")) for c in columns}
+    return out.withColumns(picked).drop("__then", *[f"__{p}_{c}" for p in ("then", "last") for c in columns])
 
 
 def hour_grid(bounds: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:

@@ -29,16 +29,23 @@ def seconds(ts: str = TS) -> Column:
 
 
 def with_position(
-    df: DataFrame, name: str, keys: Sequence[str] = SERIES, ts: str = TS, block_hours: int = BLOCK_HOURS
+    df: DataFrame,
+    name: str,
+    keys: Sequence[str] = SERIES,
+    ts: str = TS,
+    block_hours: int = BLOCK_HOURS,
+    total: str | None = None,
 ) -> DataFrame:
-    """Adds `name`, the 1-based position of a row along its series by time."""
+    """Adds `name`, the 1-based position of a row along its series by time, and if asked `total`, the
+    length of the series, which comes with the block counts and costs nothing more."""
     keys = list(keys)
     blocked = df.withColumn(_BLOCK, F.floor(seconds(ts) / (3600 * block_hours)))
     along = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    lengths = [F.sum("__rows").over(Window.partitionBy(*keys)).alias(total)] if total else []
     before = (
         blocked.groupBy(*keys, _BLOCK)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(*keys, _BLOCK, F.coalesce(F.sum("__rows").over(along), F.lit(0)).alias("__before"))
+        .select(*keys, _BLOCK, F.coalesce(F.sum("__rows").over(along), F.lit(0)).alias("__before"), *lengths)
     )
     inside = Window.partitionBy(*keys, _BLOCK).orderBy(seconds(ts))
     return (

@@ -335,9 +335,9 @@ def permutation_importance(trained: Trained, test: DataFrame, sample_rows: int =
     copies = moved.withColumn("feature", F.explode(F.array(F.lit(""), *[F.lit(c) for c in names])))
     swapped = copies.withColumns({c: F.when(F.col("feature") == c, F.col(f"__next_{c}")).otherwise(F.col(c)) for c in names})
     scored = regression_metrics(trained.model.transform(swapped), LABEL, "prediction", ["feature"])
-    base = scored.filter("feature = ''").select(F.lit(1).alias("__one"), F.col("mae").alias("base_mae"))
+    base = F.max(F.when(F.col("feature") == "", F.col("mae"))).over(Window.partitionBy(F.lit(1)))
     return (
-        scored.filter("feature <> ''").withColumn("__one", F.lit(1)).join(base, "__one")
-        .select("feature", "mae", (F.col("mae") - F.col("base_mae")).alias("importance"))
+        scored.withColumn("importance", F.col("mae") - base)
+        .filter("feature <> ''").select("feature", "mae", "importance")
         .orderBy(F.col("importance").desc(), "feature")
     )

@@ -145,6 +145,5 @@ def mae_trend(checks: DataFrame) -> DataFrame:
 
 
 def newest_check(checks: DataFrame) -> DataFrame:
-    """The newest row per series, for the figures on top of a page. Partial maxima, no sort."""
-    row = F.max_by(F.struct(*[c for c in checks.columns if c != "series_id"]), F.col("check_timestamp"))
-    return checks.groupBy("series_id").agg(row.alias("__row")).select("series_id", "__row.*")
+    """The newest row per series, for the figures on top of a page."""
+    return latest_per(checks, ["series_id"], F.col("check_timestamp").desc())

@@ -46,12 +46,8 @@ def rebuild(
     chunk is what a writer partitions or restarts by.
     """
     built = build_features(load, weather, options, built_at)
-    # A constant on both sides makes the table's first hour an ordinary one-row equi join.
-    first = load.agg(F.date_trunc("day", F.min("timestamp")).alias("__first")).withColumn("__one", F.lit(1))
+    first = load.agg(F.unix_seconds(F.date_trunc("day", F.min("timestamp")))).scalar()
     step = chunk_days * 86400
-    age = F.unix_seconds("timestamp") - F.unix_seconds("__first")
-    begin = F.timestamp_seconds(F.unix_seconds("__first") + F.floor(age / step) * step)
-    return (
-        built.withColumn("__one", F.lit(1)).join(first, "__one")
-        .withColumn("chunk_start", begin).drop("__one", "__first")
-    )
+    age = F.unix_seconds("timestamp") - F.col("__first")
+    begin = F.timestamp_seconds(F.col("__first") + F.floor(age / step) * step)
+    return built.withColumn("__first", first).withColumn("chunk_start", begin).drop("__first")

@@ -137,10 +137,14 @@ def promotion_log(decisions: DataFrame, now, flags: DataFrame | None = None, ver
         # One row; the set holds feature names, so it is bounded by their number.
         named = flags.select(F.explode_outer("drifted_features").alias("name"))
         found = named.agg(
-            (F.count(F.lit(1)) > 0).alias("drift_triggered"),
-            F.concat_ws(",", F.array_sort(F.collect_set("name"))).alias("drifted_features"),
+            F.struct(
+                (F.count(F.lit(1)) > 0).alias("triggered"),
+                F.concat_ws(",", F.array_sort(F.collect_set("name"))).alias("features"),
+            )
+        ).scalar()
+        rows = rows.withColumn("__drift", found).withColumns(
+            {"drift_triggered": F.col("__drift.triggered"), "drifted_features": F.col("__drift.features")}
         )
-        rows = rows.withColumn("__one", F.lit(1)).join(found.withColumn("__one", F.lit(1)), "__one").drop("__one")
     out = rows.withColumns(
         {
             "promotion_id": promotion_id("model_name", "challenger_run_id", now),

@@ -20,12 +20,11 @@ def holdout_split(
     With `val_days=0` it is the two-way holdout. The newest hour of each series is one aggregated row,
     joined back, so no series has to sit in one task. With no `keys` the newest hour is the table's.
     """
-    newest = df.groupBy(*keys).agg(F.max(TS).alias("__last"))
+    newest = F.max(TS).alias("__last")
     if keys:
-        out = df.join(newest, list(keys))
+        out = df.join(df.groupBy(*keys).agg(newest), list(keys))
     else:
-        # One row on the right: an equality on a constant pairs it with every row.
-        out = df.withColumn("__one", F.lit(1)).join(newest.withColumn("__one", F.lit(1)), "__one").drop("__one")
+        out = df.withColumn("__last", df.agg(newest).scalar())
     ts, last = F.col(TS), F.col("__last")
     split = (
         F.when(ts <= days_before(last, val_days + test_days), "train")
@@ -49,16 +48,12 @@ def ts_folds(
     the gap. A series that is too short is an error, or with `strict=False` is left out.
     """
     need = rows_needed(folds, gap, test)
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"))
+    placed = with_position(df, "__pos", keys, total="__total")
+    enough = F.col("__total") >= need
     if strict:
         text = F.format_string(f"{folds} folds need {need} rows, a series has %d", F.col("__total"))
-        checked = F.when(F.col("__total") >= need, F.col("__total")).otherwise(
-            F.raise_error(text).cast("bigint")
-        )
-        totals = totals.select(*keys, checked.alias("__total"))
-    else:
-        totals = totals.filter(F.col("__total") >= need)
-    placed = with_position(df, "__pos", keys).join(totals, list(keys))
+        enough = F.when(enough, True).otherwise(F.raise_error(text).cast("boolean"))
+    placed = placed.filter(enough)
     copies = placed.withColumn("fold", F.explode(F.array(*[F.lit(i) for i in range(folds)])))
     end = F.col("__total") - (folds - 1 - F.col("fold")) * (test + gap)
     start, index = end - test, F.col("__pos") - 1

@@ -42,14 +42,19 @@ def present_files(spark: SparkSession, directory: str) -> DataFrame:
     return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
 
 
-def expected_files(spark: SparkSession, run_date, lookback: int, directory: str) -> DataFrame:
-    """The files of the last `lookback` hours, newest first, each `found` or not."""
+def expected_hours(spark: SparkSession, run_date, lookback: int) -> DataFrame:
+    """The last `lookback` hours up to the run's, with the name of each one's file."""
     newest = F.date_trunc("hour", as_time(run_date))
     hours = spark.range(0, lookback, 1, 1).select(
         F.timestamp_add("HOUR", -F.col("id"), newest).alias("timestamp")
     )
-    wanted = hours.withColumn("file_name", file_hour("timestamp"))
-    return wanted.join(present_files(spark, directory), "file_name", "left").withColumn(
+    return hours.withColumn("file_name", file_hour("timestamp"))
+
+
+def expected_files(spark: SparkSession, run_date, lookback: int, directory: str) -> DataFrame:
+    """The expected hours with the path of their file, each `found` or not."""
+    present = present_files(spark, directory)
+    return expected_hours(spark, run_date, lookback).join(present, "file_name", "left").withColumn(
         "found", F.col("path").isNotNull()
     )
 

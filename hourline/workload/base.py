@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,22 +198,17 @@ def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_test"), F.min("timestamp").alias("training_data_start"),
         F.max("timestamp").alias("training_data_end"),
     )
-    naive = scored.filter(F.col("model_name").startswith("seasonal")).select(
-        "horizon_hours", "started_at", F.col("mae").alias("naive_mae"),
-        F.col("rmse").alias("naive_rmse"), F.col("mape").alias("naive_mape"),
-    )
-    first = scored.groupBy("model_name").agg(F.min("started_at").alias("__first"))
-    return (
-        scored.join(naive, ["horizon_hours", "started_at"], "left")
-        .join(first, "model_name")
-        .withColumns(
-            {
-                "run_id": F.md5(F.concat_ws("_", "model_name", F.date_format("started_at", "yyyyMMdd"))),
-                "family": F.substring_index("model_name", "_", 1),
-                "production": F.col("started_at") == F.col("__first"),
-            }
-        )
-        .drop("__first")
+    # A row per model and week by now, so these windows are over a handful of rows.
+    same_week = Window.partitionBy("horizon_hours", "started_at")
+    is_naive = F.col("model_name").startswith("seasonal")
+    naive = {f"naive_{m}": F.max(F.when(is_naive, F.col(m))).over(same_week) for m in ("mae", "rmse", "mape")}
+    first = F.min("started_at").over(Window.partitionBy("model_name"))
+    return scored.withColumns(naive).withColumns(
+        {
+            "run_id": F.md5(F.concat_ws("_", "model_name", F.date_format("started_at", "yyyyMMdd"))),
+            "family": F.substring_index("model_name", "_", 1),
+            "production": F.col("started_at") == first,
+        }
     )
 
 
@@ -243,9 +238,9 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_day = events(spark, sf_dir).groupBy(
         F.col("event_type").alias("series_id"), F.date_trunc("day", "ts").alias("check_timestamp")
     ).agg(F.sum(dec("value")).alias("s"), F.count(F.lit(1)).alias("n"))
-    overall = by_day.groupBy("series_id").agg(
-        F.sum("s").alias("ts"), F.sum("n").alias("tn"), F.count(F.lit(1)).alias("days")
-    )
+    # One row per series and day by now.
+    whole = Window.partitionBy("series_id")
+    overall = {"ts": F.sum("s").over(whole), "tn": F.sum("n").over(whole), "days": F.count(F.lit(1)).over(whole)}
     day_mean = F.col("s").cast("double") / F.col("n")
     score = day_mean / (F.col("ts").cast("double") / F.col("tn")) - 1
     busy = F.col("n").cast("double") * F.col("days") / F.col("tn") - 1
@@ -254,7 +249,7 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.abs("drift_score_temperature") > 0.05, "temperature"),
     )
     return (
-        by_day.join(overall, "series_id")
+        by_day.withColumns(overall)
         .withColumns({"drift_score_value": score, "drift_score_temperature": busy, "mae": day_mean})
         .withColumn("drifted_features", names)
         .withColumns(

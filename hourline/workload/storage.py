@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from hourline import schemas
 from hourline.operators import quality
+from hourline.operators.joins import only_missing
 from hourline.plans.rebuild import build_window, rebuild
 from hourline.config import FeatureOptions
-from hourline.functions.scalar import as_time
+from hourline.functions.scalar import as_time, file_hour
 from hourline.session import scratch_path
 from hourline.sources import flags, landing, payloads, tables, upsert
 from hourline.workload.base import (
@@ -192,6 +193,18 @@ def landing_files(spark, sf):
     )
 
 
+@query(
+    "s02_missing_landing_files",
+    sql(LOAD, f"""SELECT h AS "timestamp", strftime(h, '%Y-%m-%dT%H-00-00Z') || '.json' AS file_name
+      FROM (SELECT unnest(generate_series({NOW_SQL} - INTERVAL 719 HOUR, {NOW_SQL}, INTERVAL 1 HOUR)) AS h)
+      WHERE h NOT IN (SELECT "timestamp" FROM load WHERE series_id = 'click')"""),
+)
+def missing_files(spark, sf):
+    """The expected files of 30 days against the hours one series has data for."""
+    landed_names = load(spark, sf).filter("series_id = 'click'").select(file_hour("timestamp").alias("file_name"))
+    return only_missing(landing.expected_hours(spark, NOW, 720), landed_names, ["file_name"])
+
+
 XML_DOCS = f"""{LOAD},
 placed AS (SELECT series_id, date_trunc('day', "timestamp") AS day, CAST(hour("timestamp") AS INTEGER) + 1 AS p, value FROM load),
 spans AS (SELECT series_id, day, max(p) AS highest FROM placed WHERE value IS NOT NULL GROUP BY 1, 2)"""
