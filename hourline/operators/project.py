@@ -12,9 +12,31 @@ from hourline.functions.scalar import as_time
 from hourline.operators.slices import SERIES, TS
 
 
+DAY = "day"
+
+
+def prune_days(df: DataFrame, start: Column | None, end: Column | None) -> DataFrame:
+    """Bounds on the partition column of a stored hourly table, where the frame has it.
+
+    A bound on the timestamp skips row groups; the same bound on the day skips whole directories.
+    """
+    if DAY not in df.columns:
+        return df
+    if start is not None:
+        df = df.filter(F.col(DAY) >= F.to_date(start))
+    return df if end is None else df.filter(F.col(DAY) <= F.to_date(end))
+
+
 def between_ts(df: DataFrame, start, end, ts: str = TS) -> DataFrame:
     """Rows from start to end, both included. Bounds are literals, so they reach the scan."""
-    return df.filter(F.col(ts).between(as_time(start), as_time(end)))
+    start, end = as_time(start), as_time(end)
+    pruned = prune_days(df, start, end) if ts == TS else df
+    return pruned.filter(F.col(ts).between(start, end))
+
+
+def since_ts(df: DataFrame, start: Column, ts: str = TS) -> DataFrame:
+    pruned = prune_days(df, start, None) if ts == TS else df
+    return pruned.filter(F.col(ts) >= start)
 
 
 def scan_window(

@@ -13,6 +13,7 @@ from hourline.config import (
 )
 from hourline.functions.scalar import as_time, days_before
 from hourline.operators.metrics import mae_with_minimum
+from hourline.operators.project import prune_days
 from hourline.operators.slices import SERIES, TS
 from hourline.operators.windows import consecutive_true, cooldown
 
@@ -50,7 +51,8 @@ def drift_windows(
     in_window = {name: F.col(TS).between(*b) for name, b in bounds.items()}
     either = in_window["reference"] | in_window["current"]
     labels = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in in_window.items()]))
-    rows = df.filter(either).select(*SERIES, TS, *columns)
+    starts, ends = zip(*bounds.values())
+    rows = prune_days(df, F.least(*starts), F.greatest(*ends)).filter(either).select(*SERIES, TS, *columns)
     return rows.withColumn("window", F.explode(labels))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourline.functions import scalar
 from hourline.operators.joins import attach_actuals, newest_run_rows
+from hourline.operators.project import since_ts
 from hourline.operators.windows import latest_per
 
 
@@ -25,10 +26,8 @@ def actual_vs_forecast(
 ) -> DataFrame:
     """Newest forecast of each hour in the last days with the actual and the absolute error."""
     now = scalar.as_time(now)
-    recent = forecasts.filter(
-        (F.col("horizon_hours") == horizon)
-        & F.col("model_name").like(pattern)
-        & (F.col("timestamp") >= scalar.days_before(now, days))
+    recent = since_ts(forecasts, scalar.days_before(now, days)).filter(
+        (F.col("horizon_hours") == horizon) & F.col("model_name").like(pattern)
     )
     newest = latest_per(recent, ["series_id", "timestamp"], F.col("forecast_run_at").desc(), F.col("model_name"))
     return (
@@ -108,7 +107,7 @@ def promotion_history(log: DataFrame, now, days: int = 90) -> DataFrame:
 
 def _since(df: DataFrame, now, hours: int, ts: str, columns: Sequence[str]) -> DataFrame:
     start = scalar.hours_before(scalar.as_time(now), hours)
-    return df.filter(F.col(ts) >= start).select(*columns).orderBy(ts)
+    return since_ts(df, start, ts).select(*columns).orderBy(ts)
 
 
 def load_forecasts(forecasts: DataFrame, now, hours: int = 720) -> DataFrame:

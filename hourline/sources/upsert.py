@@ -18,8 +18,9 @@ LITERAL_PARTITIONS = 1000
 
 def _unique(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fails when two source rows share a key: which of them wins would be chance."""
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    ok = F.when(copies == 1, True).otherwise(
+    # Numbering needs no memory, however often a key is repeated, and sorts as the join does anyway.
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    ok = F.when(nth == 1, True).otherwise(
         F.raise_error(F.lit("several source rows share a key; deduplicate them first")).cast("boolean")
     )
     return source.withColumn("__ok", ok).filter("__ok").drop("__ok")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourline.operators import joins, metrics
+from hourline.operators.windows import impute_weather
 from hourline.plans import forecast, splits
+from hourline.plans.panels import model_list
 from hourline.workload.base import (
     FORECASTS, LOAD, MODEL_RUNS, exact_mean_sql, forecasts, load, mape_sql, model_runs, query,
-    rmse_sql, sql, table, weather,
+    rmse_sql, sql, weather,
 )
-from hourline.workload.features import FILLS, calendar_of, matrix
+from hourline.workload.features import FILLS, calendar_of
 
 BY_MODEL = ["series_id", "model_name"]
 
@@ -86,8 +88,6 @@ def weekly(spark, sf):
     sql(FORECASTS, "SELECT model_name, bool_or(actual IS NOT NULL) AS has_actuals FROM forecasts WHERE horizon_hours = 168 GROUP BY 1"),
 )
 def models(spark, sf):
-    from hourline.plans.panels import model_list
-
     return model_list(forecasts(spark, sf), 168)
 
 
@@ -193,8 +193,6 @@ ahead AS (
       LEFT JOIN holidays n ON n.holiday_date = c.local_date + 1"""),
 )
 def future(spark, sf):
-    from hourline.operators.windows import impute_weather
-
     history = impute_weather(joins.join_weather(load(spark, sf), weather(spark, sf)))
     return forecast.future_features(history, "2024-01-30 12:00:00", 168)
 

@@ -8,7 +8,7 @@ from hourline.config import MODEL_FEATURES
 from hourline.operators import windows
 from hourline.plans import drift
 from hourline.session import written
-from hourline.workload.base import CHECKS, FORECASTS, LOAD, NOW, NOW_SQL, checks, exact_mean_sql, forecasts, load, query, sql
+from hourline.workload.base import CHECKS, FORECASTS, LOAD, NOW, NOW_SQL, checks, forecasts, load, query, sql
 from hourline.workload.features import MATRIX, matrix
 
 COLUMNS = ("value", *MODEL_FEATURES)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourline.operators.metrics import regression_metrics
 from hourline.plans import forecast, ml, panels, runs, splits
 from hourline.session import scratch_path, written
 from hourline.workload.base import MODEL_RUNS, NOW, NOW_SQL, checks, model_runs, query, sql, stored_runs

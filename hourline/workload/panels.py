@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourline.plans import panels
 from hourline.workload.base import (
-    CHECKS, FORECASTS, LOAD, MODEL_RUNS, NOW, NOW_SQL, checks, events, forecasts, load, model_runs, query, sql,
+    CHECKS, FORECASTS, NOW, NOW_SQL, checks, events, forecasts, load, query, sql,
 )
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourline.operators import project, quality, windows
+from hourline.operators.joins import join_weather
 from hourline.sources import ranges
-from hourline.workload.base import LOAD, NOW, NOW_SQL, WEATHER, events, load, query, sql, table
+from hourline.workload.base import LOAD, NOW, NOW_SQL, WEATHER, events, load, query, sql, table, weather
 
 QUALITY = "rows, nulls, CASE WHEN rows > 0 THEN nulls / rows ELSE 0.0 END AS null_rate, rows > 0 AND nulls / rows > 0.1 AS high_gap_rate"
 
@@ -50,8 +51,6 @@ def stamped(spark, sf):
     sql(WEATHER, "SELECT *, 'run-1' AS run_id FROM weather"),
 )
 def stamped_weather(spark, sf):
-    from hourline.workload.base import weather
-
     flag = F.when(F.col("temperature").isNotNull(), F.lit(False))
     return project.stamp_weather(weather(spark, sf).withColumn("is_weather_imputed", flag), "run-1")
 
@@ -73,9 +72,6 @@ def contracts(spark, sf):
       WHERE value IS NOT NULL AND temperature IS NOT NULL"""),
 )
 def known(spark, sf):
-    from hourline.operators.joins import join_weather
-    from hourline.workload.base import weather
-
     joined = join_weather(load(spark, sf), weather(spark, sf))
     return project.with_known(joined, ("value", "temperature")).select("series_id", "timestamp", "value", "temperature")
 
@@ -148,9 +144,6 @@ def series_range(spark, sf):
         .replace("1 - count(value) / count(*)", "(count(*) - count(value)) / count(*)")),
 )
 def null_rates(spark, sf):
-    from hourline.operators.joins import join_weather
-    from hourline.workload.base import weather
-
     joined = join_weather(load(spark, sf), weather(spark, sf))
     return quality.null_rates(joined, ["value", "temperature", "humidity", "cloud_cover"])
 

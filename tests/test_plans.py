@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from hourline.config import FeatureOptions
 from hourline.functions.calendar import holiday_dim
 from hourline.operators import windows
+from hourline.plans.drift import drift_windows
 from hourline.plans.features import build_features
 from hourline.plans.forecast import future_features
+from hourline.plans.panels import load_forecasts
+from hourline.plans.rebuild import build_window
+from hourline.sources.tables import with_day
 from hourline.sources.upsert import upsert
 from hourline.workload import QUERIES
 from hourline.workload.base import table
@@ -61,6 +65,22 @@ def test_time_bounds_reach_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
 
 
+def test_stored_days_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "load")
+    hours = spark.range(24 * 50).select(F.timestamp_seconds(1704067200 + F.col("id") * 3600).alias("timestamp"))
+    stored = with_day(hours.withColumns({"series_id": F.lit("A"), "value": F.lit(1.0)}))
+    stored.write.partitionBy("day").parquet(path)
+    read = spark.read.schema(stored.schema).parquet(path)
+    cut = {
+        "window": build_window(read, None, "2024-01-20", "2024-01-21", 24, 24, FeatureOptions(min_rows=0)),
+        "drift": drift_windows(read, "2024-02-10", ["value"], ("2024-02-01", "2024-02-05")),
+        "report": load_forecasts(read.withColumns({c: F.lit(1) for c in ("predicted", "actual", "model_name", "horizon_hours", "model_version")}), "2024-02-10", 48),
+    }
+    for name, df in cut.items():
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_of(df))
+        assert filters and all("day#" in f for f in filters), name
+
+
 def test_newest_rows_are_cut_before_the_shuffle(spark, sf_dir):
     plan = plan_of(windows.latest_per(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderdate").desc()))
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
