@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hourline.config import (
     CENTERED_ROWS, DRIFT_HISTORY_CAP, FILL_LIMIT, LAG_HOURS, ROLLING, WEATHER_COLUMNS, Rolling,
 )
-from hourline.functions.exact import VALUE, dec, mean_of, square, std_of
+from hourline.functions.exact import VALUE, dec, mean_of, std_of
 from hourline.operators.slices import ROWS_PER_SLICE, SERIES, TS, over_hours, over_rows
 
 
@@ -84,12 +84,14 @@ def rolling_columns(
 
     The running sums are decimals, so the difference is the exact sum of the frame.
     """
-    squares = any(s.stat == "std" for s in specs)
+    # Turning doubles into decimals is the dear part: once per row, not once per aggregate.
+    exact = df.withColumn("__d", dec(column))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = {"__n": F.count(column).over(running), "__s": F.sum(dec(column)).over(running)}
-    if squares:
-        totals["__ss"] = F.sum(square(column)).over(running)
-    out = df.withColumns(totals)
+    totals = {"__n": F.count("__d").over(running), "__s": F.sum("__d").over(running)}
+    if any(s.stat == "std" for s in specs):
+        exact = exact.withColumn("__dd", F.col("__d") * F.col("__d"))
+        totals["__ss"] = F.sum("__dd").over(running)
+    out = exact.withColumns(totals)
 
     lengths = sorted({s.rows for s in specs})
     before = {f"{t}_{rows}": F.lag(t, rows).over(w) for rows in lengths for t in totals}
@@ -109,7 +111,7 @@ def rolling_columns(
         else:
             raise ValueError(f"unknown statistic {s.stat!r}")
         stats[s.name] = F.when(n >= s.min_rows, value)
-    return out.withColumns(stats).drop(*totals, *before)
+    return out.withColumns(stats).drop("__d", "__dd", *totals, *before)
 
 
 def add_rolling(
@@ -143,21 +145,18 @@ def centered_fill_columns(df: DataFrame, w: WindowSpec, columns: Sequence[str],
     before, after = rows // 2, rows - rows // 2 - 1
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    kind = "decimal(18,6)"
+    exact = {f"__d_{c}": dec(c, "decimal(18,6)") for c in columns}
     sums: dict[str, Column] = {}
     for c in columns:
-        sums |= {
-            f"__n_{c}": F.count(c).over(running), f"__s_{c}": F.sum(dec(c, kind)).over(running),
-            f"__alln_{c}": F.count(c).over(whole), f"__alls_{c}": F.sum(dec(c, kind)).over(whole),
-        }
-    out = df.withColumns(sums)
+        sums |= {f"__n_{c}": F.count(f"__d_{c}").over(running), f"__s_{c}": F.sum(f"__d_{c}").over(running)}
+    out = df.withColumns(exact).withColumns(sums)
     ends: dict[str, Column] = {}
     for c in columns:
         for t in ("n", "s"):
-            ends[f"__{t}hi_{c}"] = F.coalesce(
-                F.lead(f"__{t}_{c}", after).over(w), F.col(f"__all{t}_{c}")
-            )
-            ends[f"__{t}lo_{c}"] = F.lag(f"__{t}_{c}", before + 1).over(w)
+            total = f"__{t}_{c}"
+            # Past the end of the series the running sum stays what it is on the last row.
+            ends[f"__{t}hi_{c}"] = F.coalesce(F.lead(total, after).over(w), F.last(total).over(whole))
+            ends[f"__{t}lo_{c}"] = F.lag(total, before + 1).over(w)
     out = out.withColumns(ends)
 
     def inside(t: str, c: str) -> Column:
@@ -165,7 +164,7 @@ def centered_fill_columns(df: DataFrame, w: WindowSpec, columns: Sequence[str],
         return F.when(low.isNull(), high).otherwise(high - low)
 
     filled = {c: F.coalesce(F.col(c), mean_of(inside("s", c), inside("n", c))) for c in columns}
-    return out.withColumns(filled).drop(*sums, *ends)
+    return out.withColumns(filled).drop(*exact, *sums, *ends)
 
 
 def impute_columns(

@@ -20,8 +20,6 @@ from hourline.sources.upsert import upsert
 from hourline.workload import QUERIES
 from hourline.workload.base import table
 
-JVM_ONLY = sorted(n for n in QUERIES if re.match(r"[afjpstw]\d\d|d0|m0[1-5]|m1|m2[0-3]|series", n) and "gbt" not in n)
-
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -100,11 +98,3 @@ def test_upsert_joins_once(spark, stored):
 
 def test_what_is_broadcast_on_purpose_is_small(spark):
     assert holiday_dim(spark).count() < 2000
-
-
-@pytest.mark.parametrize("name", JVM_ONLY)
-def test_no_python_and_no_pairing_of_everything(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert not re.search(r"Python|CartesianProduct|BroadcastNestedLoopJoin", plan)
-    # A window without a partition would be one task.
-    assert not re.search(r"windowspecdefinition\(\w+#\d+L? (ASC|DESC)", plan)
