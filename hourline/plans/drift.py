@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from hourline.operators.slices import SERIES, TS
 from hourline.operators.windows import consecutive_true, cooldown
 
 BINS = 10
-CUTS = 64
+CUTS = 16
 METHODS = ("js", "ks", "wasserstein")
 
 # The texts that explain a retrain decision.
@@ -90,12 +92,17 @@ def _counts() -> list[Column]:
     return [F.count_if(F.col("window") == w).alias(a) for w, a in (("reference", "r"), ("current", "c"))]
 
 
+def _attach(df: DataFrame, stats: list[Column], keys: list[str]) -> DataFrame:
+    """Rows with statistics of their series; without keys, of the whole frame."""
+    if keys:
+        return df.join(df.groupBy(*keys).agg(*stats), keys)
+    return df.select("*", F.inline(F.array(df.agg(F.struct(*stats)).scalar())))
+
+
 def _js_scores(numbers: DataFrame, columns: Sequence[str], keys: list[str], bins: int) -> DataFrame:
     """Jensen-Shannon divergence in bits over equal-width bins of the pooled range."""
-    ends = numbers.groupBy(*keys).agg(
-        *[f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
-    )
-    joined = numbers.join(ends, keys)
+    ends = [f(c).alias(f"__{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    joined = _attach(numbers, ends, keys)
 
     def bucket(c: str) -> Column:
         low, high = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
@@ -121,25 +128,24 @@ def _js_scores(numbers: DataFrame, columns: Sequence[str], keys: list[str], bins
     )
 
 
-def _cumulative(numbers: DataFrame, columns: Sequence[str], keys: list[str]) -> DataFrame:
+def _cumulative(numbers: DataFrame, columns: Sequence[str], keys: list[str], cuts: int) -> DataFrame:
     """Both empirical distribution functions at every distinct value, and the next distinct value.
 
     The values of a column are cut at sampled quantiles. Counts are added up inside each cut and over
     the cuts, so no task sorts a whole column, and the result is exact wherever the cuts fall.
     """
-    steps = [i / CUTS for i in range(1, CUTS)]
-    cuts = numbers.groupBy(*keys).agg(*[F.percentile_approx(c, steps, 1000).alias(f"__cuts_{c}") for c in columns])
-    joined = numbers.join(cuts, keys)
+    steps = [i / cuts for i in range(1, cuts)]
+    joined = _attach(numbers, [F.percentile_approx(c, steps, 1000).alias(f"__cuts_{c}") for c in columns], keys)
 
     def bucket(c: str) -> Column:
-        value = F.col(c)
-        return F.size(F.filter(F.col(f"__cuts_{c}"), lambda x: x < value))
+        value, at = F.col(c), F.col(f"__cuts_{c}")
+        return reduce(add, [(at[i] < value).cast("int") for i in range(len(steps))], F.lit(0))
 
     each = [*keys, "column_name"]
     counted = (
         _long(joined, columns, keys, {c: bucket(c) for c in columns}).groupBy(*each, "bucket", "v").agg(*_counts())
     )
-    # At most CUTS rows per series and column from here on.
+    # At most `cuts` rows per series and column from here on.
     per_cut = counted.groupBy(*each, "bucket").agg(F.sum("r").alias("cr"), F.sum("c").alias("cc"), F.min("v").alias("lowest"))
     along = Window.partitionBy(*each).orderBy("bucket")
     earlier, all_cuts = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*each)
@@ -162,13 +168,17 @@ def _cumulative(numbers: DataFrame, columns: Sequence[str], keys: list[str]) ->
 
 
 def column_scores(
-    windows: DataFrame, columns: Sequence[str], method: str = "js", bins: int = BINS, keys: Sequence[str] = SERIES
+    windows: DataFrame, columns: Sequence[str], method: str = "js", bins: int = BINS,
+    keys: Sequence[str] = SERIES, cuts: int = CUTS,
 ) -> DataFrame:
     """Distance between the two windows per series and column.
 
     js           Jensen-Shannon divergence, base 2
     ks           largest difference of the distribution functions
     wasserstein  area between them, in standard deviations of the reference
+
+    With no keys all series are one population; raise `cuts` to the number of tasks that should share
+    a column then.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
@@ -176,7 +186,7 @@ def column_scores(
     numbers = _as_numbers(windows, columns, keys)
     if method == "js":
         return _js_scores(numbers, columns, keys, bins)
-    curves = _cumulative(numbers, columns, keys)
+    curves = _cumulative(numbers, columns, keys, cuts)
     gap = F.abs(F.col("fr") - F.col("fc"))
     if method == "ks":
         return curves.groupBy(*keys, "column_name").agg(F.max(gap).alias("score"))

@@ -32,10 +32,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; only where that is unset, a folder of this machine."""
+    """The cluster's `spark.checkpoint.dir`. Only a local session may do without: it gets a folder of
+    this machine. On a cluster such a folder would be lost with its executor, so there it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     made = tempfile.mkdtemp(prefix="hourline-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made

@@ -59,6 +59,14 @@ def test_distances_equal_brute_force(spark):
         score(spark, ref, cur, "chi")
 
 
+@pytest.mark.parametrize("method", drift.METHODS)
+def test_all_series_as_one_population(spark, method):
+    one = two_windows(spark, [float(i % 13) for i in range(90)], [float(i % 7) for i in range(50)])
+    split = one.withColumn("series_id", F.when(F.col("value") > 3, "B").otherwise("A"))
+    whole = drift.column_scores(split, ["value"], method, keys=(), cuts=5).first().score
+    assert whole == pytest.approx(drift.column_scores(one, ["value"], method).first().score)
+
+
 def test_dataset_drift_lists_the_columns(spark):
     scores = spark.createDataFrame(
         [("A", "value", 0.12, True), ("A", "temperature", 0.25, True), ("A", "humidity", 0.0, False)],
