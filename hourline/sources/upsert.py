@@ -145,6 +145,12 @@ def touched(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -
     return target.filter(reduce(or_, each))
 
 
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the path was committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def publish(spark: SparkSession, staged: str, path: str, partition_by: Sequence[str], sort_by: Sequence[str]) -> None:
     """Replaces the partitions present in the staged data. Running it again gives the same table."""
     rows = spark.read.parquet(staged).drop(CHANGE)
@@ -171,16 +177,19 @@ def merge_into(
     """Merges the source into the table at `path` and returns the counters.
 
     The partition columns must be functions of the key, so a row never moves between partitions. Only
-    touched partitions are rewritten. The merged rows are staged in the shared folder first: what is
-    published, and counted, is a finished copy, and `publish` can be repeated after a crash.
+    touched partitions are rewritten. The merged rows are staged first, so what is published, and
+    counted, is a finished copy. Publishing replaces partitions one by one; a crash in the middle
+    leaves the table half replaced. Name `staged` per batch, and the rerun of that batch publishes the
+    finished copy again instead of merging into such a table.
     """
     spark = source.sparkSession
-    ensure_table(spark, path, source.schema, partition_by)
-    target = read_table(spark, path, source.schema)
-    merged = upsert(touched(target, source, partition_by), source, [*partition_by, *keys], update, when)
-    if dry_run:
-        return change_counts(merged)
-    staged = staged or scratch_path(spark, "staged")
-    merged.write.mode("overwrite").parquet(staged)
+    if dry_run or staged is None or not is_finished(spark, staged):
+        ensure_table(spark, path, source.schema, partition_by)
+        target = read_table(spark, path, source.schema)
+        merged = upsert(touched(target, source, partition_by), source, [*partition_by, *keys], update, when)
+        if dry_run:
+            return change_counts(merged)
+        staged = staged or scratch_path(spark, "staged")
+        merged.write.mode("overwrite").parquet(staged)
     publish(spark, staged, path, partition_by, keys)
     return change_counts(spark.read.parquet(staged))

@@ -115,8 +115,8 @@ def upsert_sink(
     order: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Upserts every micro-batch. A batch that is run again after a failure writes the same rows: its
-    staging folder is named by the batch, and merging the same rows twice changes nothing."""
+    """Upserts every micro-batch. Its staging folder is named by the batch: a batch that is run again
+    after a failure publishes the merged rows it had staged, or merges them if it had not got so far."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = dedup_latest(batch, [*partition_by, *keys], order) if order else batch

@@ -60,6 +60,20 @@ def test_merge_rewrites_only_touched_days(spark, tmp_path):
     assert got == {("A", hour(0)): 1.0, ("A", hour(30)): 5.0, ("A", hour(31)): 6.0, ("A", hour(60)): 3.0}
 
 
+def test_a_rerun_publishes_what_it_had_staged(spark, tmp_path):
+    path, staged = str(tmp_path / "table"), str(tmp_path / "staged")
+    upsert.merge_into(path, tables.with_day(rows(spark, (0, 1.0), (30, 2.0))), KEY, ["day"])
+    batch = tables.with_day(rows(spark, (1, 5.0), (31, 6.0)))
+    first = upsert.merge_into(path, batch, KEY, ["day"], staged=staged).first()
+    whole = content(tables.read_table(spark, path, batch.schema))
+    # What a crash while publishing leaves behind: a day without its older rows.
+    damaged = tables.with_day(rows(spark, (31, 6.0)))
+    damaged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    assert content(tables.read_table(spark, path, batch.schema)) != whole
+    again = upsert.merge_into(path, batch, KEY, ["day"], staged=staged).first()
+    assert content(tables.read_table(spark, path, batch.schema)) == whole and again == first
+
+
 def test_many_touched_partitions_use_a_semi_join(spark, monkeypatch):
     monkeypatch.setattr(upsert, "LITERAL_PARTITIONS", 1)
     target = tables.with_day(rows(spark, (0, 1.0), (30, 2.0), (60, 3.0)))
@@ -126,10 +140,10 @@ def test_bad_landing_file_is_counted_not_lost(spark, tmp_path):
     assert got.cache().filter(F.col(landing.CORRUPT).isNotNull()).count() == 1
 
 
-XML = """<?xml version="1.0"?><GL_MarketDocument xmlns="urn:x:6:1"><TimeSeries><Period><timeInterval>
+XML = """<?xml version="1.0"?><Load_Document xmlns="urn:x:6:1"><TimeSeries><Period><timeInterval>
 <start>2024-01-01T00:00Z</start><end>2024-01-01T04:00Z</end></timeInterval><resolution>PT60M</resolution>
 <Point><position>1</position><quantity>4000</quantity></Point><Point><position>2</position><quantity>4100</quantity></Point>
-<Point><position>4</position><quantity>4300</quantity></Point></Period></TimeSeries></GL_MarketDocument>"""
+<Point><position>4</position><quantity>4300</quantity></Point></Period></TimeSeries></Load_Document>"""
 
 
 def test_xml_fills_missing_positions(spark):
