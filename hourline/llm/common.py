@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,9 +17,23 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with times in UTC and with this package sent to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        packed = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(packed)  # the driver serves it; nobody else reads this folder
+        _shipped.add(app)
+    return use_utc(spark)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: fn(use_utc(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(ready(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -73,3 +90,14 @@ def running(df: DataFrame, group: list[str], order: list[Column], values: dict[s
     out = laid.join(shifts, ["__part", *group])
     out = out.withColumns({f"{v}__before": F.col(f"{v}__shift") + F.col(f"{v}__in") for v in values})
     return out.drop("__part", *[f"{v}__{x}" for v in values for x in ("in", "shift")])
+
+
+def keep_rows(df: DataFrame, chosen: DataFrame, marks: dict[str, Column], key: str) -> DataFrame:
+    """The rows of `df` whose key and marks are in `chosen` (key, *marks), one of each such pair. Rows that
+    repeat are cut to one per task before they are shuffled."""
+    names = ["__key", *marks]
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    same = Window.partitionBy(*names).orderBy(F.lit(0))
+    once = df.withColumns(marks | {"__key": as_text(key)}).withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
+    wanted = chosen.select(as_text(key).alias("__key"), *marks)
+    return once.join(wanted, names, "left_semi").select(*df.columns)

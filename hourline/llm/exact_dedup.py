@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline.llm.common import query, stored, table
+from hourline.llm.common import keep_rows, query, stored, table
 
 BUCKETS = 64
 HOT_SHARE = 1000
@@ -95,16 +95,8 @@ def exact_groups(df: DataFrame, index_name: str, batches: int = 2, key: str = "d
 
 def deduplicate(df: DataFrame, index_name: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df` with one row per text, the one with the largest key; other columns as they are."""
-    chosen = exact_groups(df, index_name, key=key, text=text).where("kept").select(
-        F.col("text_sha256").alias("__digest"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key"),
-    )
-    same = Window.partitionBy("__digest", "__key").orderBy(F.lit(0))
-    once = (
-        df.withColumn("__digest", text_digest(text))
-        .withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
-        .withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
-    )
-    return once.join(chosen, ["__digest", "__key"], "left_semi").select(*df.columns)
+    chosen = exact_groups(df, index_name, key=key, text=text).where("kept")
+    return keep_rows(df, chosen.select(key, F.col("text_sha256").alias("__digest")), {"__digest": text_digest(text)}, key)
 
 
 @query("op3_exact_dedup", """
