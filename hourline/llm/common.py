@@ -92,12 +92,19 @@ def running(df: DataFrame, group: list[str], order: list[Column], values: dict[s
     return out.drop("__part", *[f"{v}__{x}" for v in values for x in ("in", "shift")])
 
 
+def as_text(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+
+
+def once(df: DataFrame, marks: dict[str, Column], key: str) -> DataFrame:
+    """`df` with `__key` and the marks, one row of each such combination. Rows that repeat are cut to one
+    per task before they are shuffled."""
+    same = Window.partitionBy("__key", *marks).orderBy(F.lit(0))
+    marked = df.withColumns(marks | {"__key": as_text(key)})
+    return marked.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").drop("__nth")
+
+
 def keep_rows(df: DataFrame, chosen: DataFrame, marks: dict[str, Column], key: str) -> DataFrame:
-    """The rows of `df` whose key and marks are in `chosen` (key, *marks), one of each such pair. Rows that
-    repeat are cut to one per task before they are shuffled."""
-    names = ["__key", *marks]
-    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    same = Window.partitionBy(*names).orderBy(F.lit(0))
-    once = df.withColumns(marks | {"__key": as_text(key)}).withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
+    """The rows of `df` whose key and marks are in `chosen` (key, *marks), one of each such pair."""
     wanted = chosen.select(as_text(key).alias("__key"), *marks)
-    return once.join(wanted, names, "left_semi").select(*df.columns)
+    return once(df, marks, key).join(wanted, ["__key", *marks], "left_semi").select(*df.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourline.llm.common import discard, keep_rows, query, stored, table
+from hourline.llm.common import as_text, discard, keep_rows, once, query, stored, table
 
 BANDS, ROWS = 40, 5  # at a similarity of 0.8 all 40 bands miss once in 8 million pairs
 HASHES = BANDS * ROWS
@@ -18,7 +18,7 @@ SEED = 20240131
 # Signature estimates this far under the threshold rule a pair out: over five standard deviations of 200 minima.
 SLACK = 0.16
 WORDS_KEPT = 1 << 20
-PER_TASK_MEMBERS, PIVOT_BLOCK, MEMBER_SLICE = 256, 512, 4096
+PER_TASK_MEMBERS, PIVOT_BLOCK, MEMBER_SLICE = 256, 128, 512
 _draw = np.random.Generator(np.random.PCG64(SEED))
 _A = _draw.integers(1, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
 _B = _draw.integers(0, 2**64, HASHES, dtype=np.uint64)
@@ -58,6 +58,13 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(total)
 
 
+def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(one), len(other)) < percent * max(len(one), len(other)):
+        return False
+    joint = len(one) + len(other) - len(np.unique(np.concatenate([one, other])))
+    return 100 * joint >= percent * (len(one) + len(other) - joint)
+
+
 def minima(shingles: np.ndarray) -> np.ndarray:
     """For each of the universal hashes (a x + b mod 2^64, upper half, x of 32 bits), its least value."""
     least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
@@ -110,57 +117,58 @@ def _alike(threshold: float):
 
 
 def _linked(words: int, percent: int):
-    """Rows (a, part, b, digest, text) sorted by a, part and with the text of `a` itself first: the links by full sets."""
+    """Rows (a, part, b, text) sorted by a, part and with the text of `a` itself first: the links by full sets."""
     def run(batches):
         pivot, pivot_set = None, None
         for batch in batches:
             a_out, b_out = [], []
-            for a, part, b, high, low, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, part, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shingles = shingle_set(text, words)
-                digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-                if digest != np.array([high, low], np.int64).tobytes():
-                    continue  # another text under the same key
                 if a == b:
                     pivot, pivot_set = (a, part), shingles
-                elif (a, part) == pivot:
-                    joint = len(pivot_set) + len(shingles) - len(np.unique(np.concatenate([pivot_set, shingles])))
-                    if 100 * joint >= percent * (len(pivot_set) + len(shingles) - joint):
-                        a_out.append(a)
-                        b_out.append(b)
+                elif (a, part) == pivot and similar(pivot_set, shingles, percent):
+                    a_out.append(a)
+                    b_out.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _crossed(threshold: float):
-    """Rows (key, block, slice, first, node, root, signature), the block's pivots first: pairs of different
-    components whose signatures agree, compared in memory a batch of members at a time."""
+def _crossed(words: int, percent: int, threshold: float):
+    """Rows (key, block, slice, first, node, root, signature, text), the block's pivots first: links between
+    different components, by signature and then by full sets. Every member streams past the pivots held in
+    memory. Components that a link has joined count as one from then on, so there are fewer links than components."""
     def run(batches):
-        at, pivots, ready = None, [], None
+        at, nodes, roots, texts, signatures, matrix, sets, joined = None, [], [], [], [], None, {}, {}
+
+        def find(root):
+            while joined.get(root, root) != root:
+                root = joined[root]
+            return root
+
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            a_out, b_out, members = [], [], []
-
-            def compare(a_out=a_out, b_out=b_out, members=members):
-                nonlocal ready
-                if members and pivots:
-                    if ready is None:
-                        ready = (np.array([p[0] for p in pivots]), np.array([p[1] for p in pivots]),
-                                 np.frombuffer(b"".join(p[2] for p in pivots), "<u2").reshape(-1, HASHES))
-                    nodes, roots, signatures = ready
-                    for node, root, signature in members:
-                        same = (signatures == np.frombuffer(signature, "<u2")).mean(axis=1) >= threshold
-                        for other in nodes[same & (roots != root)].tolist():
-                            a_out.append(min(node, other))
-                            b_out.append(max(node, other))
-                members.clear()
-
-            for key, block, part, first, node, root, signature in zip(*columns, strict=True):
+            a_out, b_out = [], []
+            for key, block, part, first, node, root, signature, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, block, part) != at:
-                    compare()
-                    at, pivots, ready = (key, block, part), [], None
-                (pivots if first == 0 else members).append((node, root, signature))
-            compare()
+                    at, nodes, roots, texts, signatures, matrix, sets, joined = (key, block, part), [], [], [], [], None, {}, {}
+                if first == 0:
+                    nodes.append(node), roots.append(root), texts.append(text), signatures.append(signature)
+                    continue
+                if not nodes:
+                    continue
+                if matrix is None:
+                    matrix = np.frombuffer(b"".join(signatures), "<u2").reshape(-1, HASHES)
+                own = None
+                for i in np.flatnonzero((matrix == np.frombuffer(signature, "<u2")).mean(axis=1) >= threshold).tolist():
+                    if find(roots[i]) == find(root):
+                        continue
+                    own = shingle_set(text, words) if own is None else own
+                    if i not in sets:
+                        sets[i] = shingle_set(texts[i], words)
+                    if similar(sets[i], own, percent):
+                        joined[find(roots[i])] = find(root)
+                        a_out.append(nodes[i])
+                        b_out.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
     return run
@@ -202,7 +210,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_TASK_MEMBERS).alias("__parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("__parts")).cast("int")).drop("__parts")
     heads = dealt.select("a", "part").distinct().withColumn("b", F.col("a"))
-    rows = dealt.unionByName(heads).join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "high", "low", "text")
+    rows = dealt.unionByName(heads).join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("a") != F.col("b"))
     return rows.mapInArrow(_linked(words, percent), "a long, b long")
 
@@ -215,7 +223,7 @@ def near_duplicates(
     Rows with equal shingle sets are one node. Nodes that share a band meet in its bucket. First every
     member is compared with the bucket's pivot, chosen alike in all buckets: estimates from signatures, then full sets.
     Components of these links leave few buckets with more than one component; there all members
-    outside the largest are compared, in blocks, with all members of other components. So a large group is never
+    outside the largest are compared, in blocks held in memory, with all members of other components, and only links come out. So a large group is never
     paired off, and no link between different components goes unseen.
 
     NULL and wordless texts have n_shingles 0 and are linked with nothing; a NULL key is never a component_id
@@ -231,8 +239,8 @@ def near_duplicates(
     )
     nodes, nodes_at = stored(
         rows.where("n > 0").groupBy("high", "low").agg(
-            F.min("doc").alias("doc"), F.first("bands").alias("bands"), F.first("signature").alias("signature"),
-        ).withColumn("node", F.monotonically_increasing_id()),
+            F.min(F.struct("doc", "stamp")).alias("doc"), F.first("bands").alias("bands"), F.first("signature").alias("signature"),
+        ).select("high", "low", "doc.*", "bands", "signature").withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     met = nodes.select("node", F.explode("bands").alias("key"))
@@ -250,10 +258,9 @@ def near_duplicates(
         return pairs.join(b, "b").join(a, "a").select("a", "b", "of_a", "of_b").mapInArrow(_alike(threshold), "a long, b long")
 
     near, near_at = stored(estimated(pairs), "near-pairs")
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "doc", "high", "low"), "node")
-    texts, texts_at = stored(
-        wanted.join(docs.select("doc", "text"), wanted["doc"].eqNullSafe(docs["doc"])).select("node", "high", "low", "text"), "texts"
-    )
+    wanted = buckets.select("node").distinct().join(nodes, "node").select("node", as_text("doc").alias("__key"), "stamp")
+    texts = once(docs.drop("stamp"), {"stamp": F.xxhash64("text")}, "doc").join(wanted, ["__key", "stamp"])
+    texts, texts_at = stored(texts.select("node", "text"), "texts")
     links, links_at = stored(_verified(near, texts, words, percent), "links")
     roots = components(links)
 
@@ -276,19 +283,18 @@ def near_duplicates(
     heads = mixed.where("root <> main").withColumns({"block": of("blocks"), "first": F.lit(0)}).withColumn("slice", every("slices"))
     members = mixed.withColumns({"slice": of("slices"), "first": F.lit(1)}).withColumn("block", every("blocks"))
     rest = (
-        heads.select(columns).unionByName(members.select(columns)).repartition("key", "block", "slice")
-        .sortWithinPartitions("key", "block", "slice", "first")
-        .mapInArrow(_crossed(threshold), "a long, b long").distinct()
+        heads.select(columns).unionByName(members.select(columns)).join(texts, "node").select(*columns, "text")
+        .repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice", "first")
+        .mapInArrow(_crossed(words, percent, threshold), "a long, b long")
     )
-    rest, rest_at = stored(rest, "rest-pairs")
-    more, more_at = stored(_verified(rest, texts, words, percent), "links")
+    more, more_at = stored(rest, "links")
     roots = components(links.unionByName(more))
 
     labelled = nodes.select("high", "low", "node", "doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labelled.groupBy("root").agg(F.min("doc").alias("component_id"))
     final, _ = stored(labelled.join(least, "root").select("high", "low", "component_id"), "classes")
     thin, _ = stored(rows.select("doc", "stamp", "high", "low", "n"), "members")
-    discard(spark, rows_at, nodes_at, buckets_at, pairs_at, near_at, texts_at, placed_at, mixed_at, rest_at, links_at, more_at)
+    discard(spark, rows_at, nodes_at, buckets_at, pairs_at, near_at, texts_at, placed_at, mixed_at, links_at, more_at)
     out = thin.join(final, ["high", "low"], "left").withColumn(
         "component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")))
     return out.select(
