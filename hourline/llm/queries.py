@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourline.llm import exact_dedup, minhash, mixing, sharding, toxicity  # noqa: F401
+from hourline.llm import exact_dedup, minhash, mixing, packing, sharding, toxicity  # noqa: F401
 from hourline.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
