@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,18 +15,16 @@ from pyspark.sql import functions as F
 from hourline.llm.common import discard, partitions, query, stored, table
 
 LENGTH, END = 4096, 1
-TEXTS_AT_ONCE, WORDS_KEPT = 512, 1 << 19
-# How the vocabulary's own file splits lower-cased text into words.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
-MARKERS = ("<|startoftext|>", "<|endoftext|>")
+TEXTS_AT_ONCE, WORDS_KEPT = 512, 1_200_000
+# Texts with the vocabulary's own markers, or with separators that only Python takes for white space.
+WHOLE = re.compile(r"<\|(?:startoftext|endoftext)\|>|[\x1c-\x1f]")
 
 
 class WordTokenizer:
-    """The ids of a word vocabulary, each distinct word encoded once per worker.
+    """The ids of a word vocabulary, each distinct run without white space encoded once per worker.
 
-    Words never share tokens, so a text's ids are those of its words in turn. Texts that hold the
-    vocabulary's own markers are encoded as a whole.
+    The vocabulary drops white space before it looks for words, so no token crosses it and a text's ids are those of its runs in
+    turn. The few texts where that may not hold are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -37,30 +34,26 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    @staticmethod
-    def split(text: str) -> list[str]:
-        if text.isascii():
-            return ASCII_WORDS.findall(text.lower())
-        text = unicodedata.normalize("NFC", text)
-        # A capital sigma is lowered letter by letter, not by its place in the word.
-        return WORDS.findall("".join(map(str.lower, text)) if "Σ" in text else text.lower())
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        marked = [any(m in t for m in MARKERS) for t in texts]
-        split = [[] if m else self.split(t) for t, m in zip(texts, marked, strict=True)]
+        whole = [WHOLE.search(t) is not None for t in texts]
+        split = [[] if w else (t.lower() if t.isascii() else t).split() for t, w in zip(texts, whole, strict=True)]
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-        new = list({w for words in split for w in words}.difference(self.known))
+        new = list(set().union(*split).difference(self.known))
         for word, found in zip(new, self.whole.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+            self.known[word] = _packed(found.ids)
         get = self.known.__getitem__
         return [
-            b"".join(i.to_bytes(4, "little") for i in self.whole.encode(t, add_special_tokens=False).ids) if m else b"".join(map(get, words))
-            for t, m, words in zip(texts, marked, split, strict=True)
+            _packed(self.whole.encode(t, add_special_tokens=False).ids) if w else b"".join(map(get, words))
+            for t, w, words in zip(texts, whole, split, strict=True)
         ]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
