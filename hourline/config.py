@@ -17,7 +17,6 @@ CENTERED_ROWS = 72
 DRIFT_SHARE = 0.15
 COLUMN_DRIFT_THRESHOLD = 0.15
 DRIFT_CONSECUTIVE = 3
-DRIFT_HISTORY_CAP = 72
 DRIFT_MIN_ROWS = 100
 CURRENT_WINDOW_DAYS = 7
 REFERENCE_WINDOW_DAYS = 30

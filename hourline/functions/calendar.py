@@ -43,6 +43,28 @@ def easter_sunday(years: DataFrame) -> DataFrame:
     return out.withColumn("easter", easter).drop(*[name for name, _ in steps])
 
 
+def easter_of(year: Column) -> Column:
+    """Easter Sunday of a year, any year of the Gregorian calendar."""
+    a, b, c = year % 19, F.floor(year / 100), year % 100
+    h = (19 * a + b - F.floor(b / 4) - F.floor((b - F.floor((b + 8) / 25) + 1) / 3) + 15) % 30
+    k = (32 + 2 * (b % 4) + 2 * F.floor(c / 4) - h - c % 4) % 7
+    s = h + k - 7 * F.floor((a + 11 * h + 22 * k) / 451) + 114
+    return F.make_date(year, F.floor(s / 31).cast("int"), (s % 31 + 1).cast("int"))
+
+
+def is_public_holiday(
+    date: Column,
+    fixed: Sequence[tuple[int, int]] = FIXED_HOLIDAYS,
+    movable: Sequence[tuple[int, int]] = EASTER_HOLIDAYS,
+) -> Column:
+    """Whether the rules make a date a holiday, in any year; NULL is none. No dimension and no join."""
+    year, gap = F.year(date), F.datediff(date, easter_of(F.year(date)))
+    hit = (F.month(date) * 100 + F.dayofmonth(date)).isin([m * 100 + d for m, d in fixed])
+    for days, since in movable:
+        hit = hit | ((gap == days) & (year >= since))
+    return F.coalesce(hit, F.lit(False))
+
+
 def holiday_dim(
     spark: SparkSession,
     first_year: int = FIRST_YEAR,
@@ -73,15 +95,13 @@ def holiday_dim(
     return days.distinct()
 
 
-def mark_holidays(
-    df: DataFrame, date_column: str, name: str, holidays: DataFrame, bounded: bool = True
-) -> DataFrame:
-    """Adds the boolean `name`. `bounded` says the dimension comes from rules alone, a few thousand rows
-    at most, and may be broadcast; otherwise the optimizer picks the join by its size."""
-    days = holidays.select(F.col("holiday_date").alias("__holiday"))
-    side = F.broadcast(days) if bounded else days
-    joined = df.join(side, F.col(date_column) == F.col("__holiday"), "left")
-    return joined.withColumn(name, F.col("__holiday").isNotNull()).drop("__holiday")
+def mark_holidays(df: DataFrame, date_column: str, name: str, extra: DataFrame | None = None) -> DataFrame:
+    """Adds the boolean `name`: by the rules, or a day of `extra` (column `holiday_date`), which is joined."""
+    if extra is None:
+        return df.withColumn(name, is_public_holiday(F.col(date_column)))
+    days = extra.select(F.col("holiday_date").alias("__holiday")).distinct()
+    joined = df.join(days, F.col(date_column) == F.col("__holiday"), "left")
+    return joined.withColumn(name, F.col("__holiday").isNotNull() | is_public_holiday(F.col(date_column))).drop("__holiday")
 
 
 def add_calendar(
@@ -98,8 +118,6 @@ def add_calendar(
     """
     if eve_mode not in ("row", "day"):
         raise ValueError(f"eve_mode must be 'row' or 'day', not {eve_mode!r}")
-    bounded = extra_holidays is None
-    days = holiday_dim(df.sparkSession, extra=extra_holidays)
     out = df.withColumn("__local", local_time(ts, timezone)).withColumns(
         {
             "hour_of_day": F.hour("__local"),
@@ -111,10 +129,10 @@ def add_calendar(
         }
     )
     out = out.withColumn("is_weekend", F.col("day_of_week") >= 5)
-    out = mark_holidays(out, "__date", "is_holiday", days, bounded)
+    out = mark_holidays(out, "__date", "is_holiday", extra_holidays)
     if eve_mode == "day":
         out = out.withColumn("__next", F.date_add("__date", 1))
-        out = mark_holidays(out, "__next", "__next_holiday", days, bounded)
+        out = mark_holidays(out, "__next", "__next_holiday", extra_holidays)
         out = out.withColumn(
             "is_holiday_eve", F.col("__next_holiday") | (F.weekday("__next") >= 5)
         ).drop("__next", "__next_holiday")

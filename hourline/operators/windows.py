@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hourline.config import (
-    CENTERED_ROWS, DRIFT_HISTORY_CAP, FILL_LIMIT, LAG_HOURS, ROLLING, WEATHER_COLUMNS, Rolling,
+    CENTERED_ROWS, FILL_LIMIT, LAG_HOURS, ROLLING, WEATHER_COLUMNS, Rolling,
 )
 from hourline.functions.exact import VALUE, dec, mean_of, std_of
 from hourline.operators.slices import ROWS_PER_SLICE, SERIES, TS, over_hours, over_rows
@@ -253,29 +253,32 @@ def consecutive_true(
     flag: str,
     keys: Sequence[str] = SERIES,
     order: str = "check_timestamp",
-    cap: int = DRIFT_HISTORY_CAP,
+    cap: int | None = None,
     contiguous: bool = False,
 ) -> DataFrame:
-    """Length of the run of true flags that ends at each key's newest check, looking back `cap` rows.
+    """Length of the run of true flags that ends at each key's newest check; `cap` bounds the answer, not the rows read.
 
-    With `contiguous` an hour without a check also ends the run.
+    The newest false flag ends the run, and the newer rows are counted: two hash aggregates. With
+    `contiguous` an hour without a check also ends the run; gaps are then looked for in the run alone.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    recent = df.select(*keys, order, flag).withColumn("__rank", F.row_number().over(newest))
-    recent = recent.filter(F.col("__rank") <= cap)
-    broken = ~F.coalesce(F.col(flag), F.lit(False))
+    keys = list(keys)
+    rows = df.select(*keys, order, flag)
+    ends = F.max(F.when(~F.coalesce(F.col(flag), F.lit(False)), F.col(order)))
+    run = after_end(rows, rows.groupBy(*keys).agg(ends.alias("__end")), keys, order)
     if contiguous:
-        newer = F.lag(seconds_of(order)).over(newest)
-        broken = broken | (F.coalesce(newer - seconds_of(order), F.lit(3600)) != 3600)
-    recent = recent.withColumn("__broken", broken)
-    breaks = F.sum(F.col("__broken").cast("int")).over(
-        newest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        recent.withColumn("__breaks", breaks)
-        .groupBy(*keys)
-        .agg(F.count_if(F.col("__breaks") == 0).cast("int").alias("consecutive"))
-    )
+        newer = F.lag(seconds_of(order)).over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+        gaps = run.withColumn("__gap", F.coalesce(newer - seconds_of(order), F.lit(3600)) != 3600)
+        ends = F.max(F.when(F.col("__gap"), F.col(order)))
+        run = after_end(run, gaps.groupBy(*keys).agg(ends.alias("__end")), keys, order)
+    counted = run.groupBy(*keys).agg(F.count(F.lit(1)).alias("__counted"))
+    found = df.select(*keys).distinct().join(counted, keys, "left")
+    length = F.coalesce("__counted", F.lit(0)) if cap is None else F.least(F.coalesce("__counted", F.lit(0)), F.lit(cap))
+    return found.select(*keys, length.cast("int").alias("consecutive"))
+
+
+def after_end(rows: DataFrame, ends: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The rows of each key that are newer than its `__end`, all where that is NULL."""
+    return rows.join(ends, list(keys)).filter(F.col("__end").isNull() | (F.col(order) > F.col("__end"))).drop("__end")
 
 
 def seconds_of(column: str) -> Column:
@@ -298,9 +301,13 @@ def cooldown(
 
 
 def tail_stats(
-    df: DataFrame, keys: Sequence[str] = SERIES, column: str = "value", long: int = 168, short: int = 24
+    df: DataFrame, keys: Sequence[str] = SERIES, column: str = "value", long: int = 168, short: int = 24,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """Per series: mean and deviation of the newest `long` rows, mean of the newest `short`, last value."""
+    """Per series: mean and deviation of the newest `long` rows, mean of the newest `short`, last value.
+    With `as_of` later rows do not count."""
+    if as_of is not None:
+        df = df.filter(F.col(TS) <= as_of)
     newest = Window.partitionBy(*keys).orderBy(F.col(TS).desc())
     recent = (
         df.select(*keys, TS, column)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourline.config import (
-    COLUMN_DRIFT_THRESHOLD, COOLDOWN_HOURS, CURRENT_WINDOW_DAYS, DRIFT_CONSECUTIVE, DRIFT_HISTORY_CAP,
+    COLUMN_DRIFT_THRESHOLD, COOLDOWN_HOURS, CURRENT_WINDOW_DAYS, DRIFT_CONSECUTIVE,
     DRIFT_MIN_ROWS, DRIFT_SHARE, MAE_DEGRADATION, MIN_ACTUALS, MODEL_FEATURES, REFERENCE_WINDOW_DAYS,
 )
 from hourline.functions.scalar import as_time, days_before
@@ -268,7 +268,7 @@ def retrain_decision(
     now,
     threshold: int = DRIFT_CONSECUTIVE,
     cooldown_hours: int = COOLDOWN_HOURS,
-    cap: int = DRIFT_HISTORY_CAP,
+    cap: int | None = None,
     contiguous: bool = False,
     keys: Sequence[str] = SERIES,
 ) -> DataFrame:

@@ -23,8 +23,9 @@ def naive_forecast(df: DataFrame, hours: int, column: str = "value", name: str =
     return lookup_at(df, df, (hours,), column, (name,), fallback=False)
 
 
-def history_rows(horizon: int) -> int:
-    return max(horizon + 168, 200)
+def history_rows(horizon: int, lag_hours: Sequence[int] = LAG_HOURS) -> int:
+    """Newest hourly rows that hold every hour a lookup of the next `horizon` hours can ask for."""
+    return max(horizon + 168, max(lag_hours, default=0), 200)
 
 
 def future_features(
@@ -44,15 +45,16 @@ def future_features(
     else the last row; trailing statistics from the newest rows. A series with fewer than 168 rows is
     left out, or with `strict` is an error.
 
-    Only the newest `history_rows(horizon)` rows of a series are used, cut before the shuffle, so the
-    per-series lookup table below has a fixed bound and everything happens in one exchange.
+    Rows after `run_at` are not looked at. Lookups and statistics use the newest `history_rows` rows of a series,
+    so the per-series lookup table below has a fixed bound; the last known value is sought in all rows.
     """
     keys = list(keys)
+    history = history.filter(F.col(TS) <= scalar.as_time(run_at))
     newest = Window.partitionBy(*keys).orderBy(F.col(TS).desc())
     recent = (
         history.select(*keys, TS, "value", *weather)
         .withColumn("__rank", F.row_number().over(newest))
-        .filter(F.col("__rank") <= history_rows(horizon))
+        .filter(F.col("__rank") <= history_rows(horizon, lag_hours))
     )
     value, known = dec("value"), F.col("value").isNotNull()
     week, day = F.col("__rank") <= 168, F.col("__rank") <= 24
@@ -61,7 +63,6 @@ def future_features(
     per_series = recent.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.map_from_entries(F.collect_list(F.struct(F.col(TS), bundle))).alias("__at"),
-        F.max_by(F.when(known, F.col("value")), F.when(known, F.col(TS))).alias("__last"),
         F.max_by(F.struct(*weather), F.col(TS)).alias("__last_weather"),
         mean_of(F.sum(in_week), F.count(in_week)).alias("rolling_7d_mean"),
         F.coalesce(
@@ -69,6 +70,8 @@ def future_features(
         ).alias("rolling_7d_std"),
         mean_of(F.sum(in_day), F.count(in_day)).alias("rolling_24h_mean"),
     )
+    last = history.groupBy(*keys).agg(F.max_by(F.when(known, F.col("value")), F.when(known, F.col(TS))).alias("__last"))
+    per_series = per_series.join(last, keys)
     enough = F.col("__rows") >= MIN_HISTORY
     if strict:
         text = F.format_string(f"{MIN_HISTORY} rows of history needed, a series has %d", F.col("__rows"))

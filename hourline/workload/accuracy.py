@@ -159,7 +159,8 @@ def with_actuals(spark, sf):
 FUTURE_CALENDAR = calendar_of("ahead")
 FUTURE = f"""{FILLS},
 ranked AS (SELECT *, CAST(value AS DECIMAL(18,4)) AS v,
-  row_number() OVER (PARTITION BY series_id ORDER BY "timestamp" DESC) AS rn FROM imputed),
+  row_number() OVER (PARTITION BY series_id ORDER BY "timestamp" DESC) AS rn FROM imputed
+  WHERE "timestamp" <= TIMESTAMP '2024-01-30 12:00:00'),
 hist AS (SELECT * FROM ranked WHERE rn <= 336),
 stats AS (SELECT series_id, arg_max(value, "timestamp") FILTER (value IS NOT NULL) AS last,
   arg_max({{t: temperature, h: humidity, c: cloud_cover}}, "timestamp") AS lw,

@@ -140,7 +140,7 @@ def prediction(spark, sf):
 RUN_LENGTH = """recent AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY check_timestamp DESC) AS rn FROM history),
 run_length AS (
   SELECT series_id, CAST(coalesce(min(rn) FILTER (NOT any_drift_detected) - 1, count(*)) AS INTEGER) AS consecutive
-  FROM recent WHERE rn <= 72 GROUP BY 1)"""
+  FROM recent GROUP BY 1)"""
 
 
 @query(

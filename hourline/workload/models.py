@@ -197,12 +197,12 @@ def gbt_forecasts(spark, sf):
 
 @query("m11_m13_gbt_future_rows")
 def gbt_future(spark, sf):
-    """The same model over the future frame, filed under the hours of the frame."""
+    """The same model over the future frame, filed under the hours it forecasts."""
     features = written(matrix(spark, sf), "features")
     trained = ml.train_gbt(features, 24, SMALL, INPUTS, min_rows=200, patience=3)
     ahead = forecast.future_features(features, "2024-01-30 12:00:00", 24)
     ready = ahead.select("series_id", "timestamp", *[F.col(c).cast("double").alias(c) for c in INPUTS]).na.drop()
-    return forecast.shape_forecasts(trained.model.transform(ready), "gbt_24h", "run-1", 24, "2024-01-30 12:00:00", "run-1")
+    return forecast.shape_forecasts(trained.model.transform(ready), "gbt_24h", "run-1", 24, "2024-01-30 12:00:00", "run-1", target_hours_ahead=24)
 
 
 @query("m24_feature_importance")

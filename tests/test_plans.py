@@ -87,8 +87,10 @@ def test_newest_rows_are_cut_before_the_shuffle(spark, sf_dir):
 def test_future_frame_shuffles_the_history_once(stored):
     load, weather = stored
     plan = plan_of(future_features(load.join(weather, ["series_id", "timestamp"]), "2024-03-01", 24))
-    # Two for the join of the test data, none of them again for the frame but the one by series.
-    assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", plan)) == 1
+    # Two for the join of the test data, then one by series; the last known value, sought in all rows, adds one
+    # of at most a row per series and task.
+    assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", plan)) == 2
+    assert "partial_max_by" in plan
 
 
 def test_upsert_joins_once(spark, stored):

@@ -210,3 +210,17 @@ def test_consecutive_flags(spark):
     strict = windows.consecutive_true(gap.filter("flag or series_id = 'B'"), "flag", contiguous=True)
     assert dict(strict.collect())["A"] == 1
     assert dict(windows.consecutive_true(data.filter("flag"), "flag", cap=2).collect()) == {"A": 2}
+
+
+def test_a_run_of_flags_has_no_cap(spark):
+    rows = spark.range(130).selectExpr(
+        "'A' AS series_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(id AS int)) AS check_timestamp", "id > 9 AS flag")
+    assert dict(windows.consecutive_true(rows, "flag").collect()) == {"A": 120}
+    gappy = rows.filter("id <> 50")
+    assert dict(windows.consecutive_true(gappy, "flag", contiguous=True).collect()) == {"A": 79}
+
+
+def test_holidays_of_any_year(spark):
+    days = spark.createDataFrame([("2101-12-25", True), ("1950-12-25", True), ("2101-04-17", True), ("2101-04-18", True), ("2101-04-19", False)], "d string, expected boolean")
+    found = add_calendar(days.selectExpr("*", "timestamp(d || ' 12:00:00') AS timestamp"))
+    assert all(r["is_holiday"] == r["expected"] for r in found.collect())
