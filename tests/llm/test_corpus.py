@@ -31,9 +31,13 @@ TEXTS = [
 SCHEMA = "doc_id long, text string, source string, size string, kept string, copies string, part int, shard string, score string"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ready(spark)
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
-    ready(spark)
     return spark.createDataFrame([(*r, "s", "k", "c", 1, "h", "z") for r in TEXTS], SCHEMA)
 
 
