@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourline.llm.common import discard, query, running, stored, table
+from hourline.llm.common import as_text, discard, once, query, running, stored, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix"
@@ -101,10 +101,13 @@ def tilt(sized: DataFrame, targets: DataFrame, cap: int, tolerance: float) -> Da
 
 def mix(
     df: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP, source: str = "source",
-    key: str = "doc_id", text: str = "text", seed: str = SEED, tolerance: float = TOLERANCE,
+    key: str = "doc_id", text: str = "text", seed: str = SEED, tolerance: float = TOLERANCE, words: str | None = None,
 ) -> DataFrame:
     """Entropy balancing: `df` with size, source_size, target, rate and `copies`, how often to take each row.
 
+    All columns of `df` pass through three sorts; give it narrow rows, with their sizes in the column `words` instead of
+    the text, as `taken` does.
+
     Rates are rounded by running sums along each source (largest documents first), so the words of a
     source differ from its target by less than one document; a second pass moves single copies of
     small documents against what is left. No row is taken more than `cap` times. NULL text and texts
@@ -114,7 +117,7 @@ def mix(
     """
     added = ("size", "source_size", "target", "rate", "copies")
     sized = df.drop(*added).withColumns({
-        "__size": word_count(text), "__null": F.col(source).isNull(),
+        "__size": F.coalesce(F.col(words), F.lit(0)).cast("bigint") if words else word_count(text), "__null": F.col(source).isNull(),
         "__source": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")),
         "__draw": F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null"))),
     })
@@ -147,15 +150,27 @@ def mix(
     )
 
 
-def taken(df: DataFrame, **options) -> DataFrame:
-    """The mixture itself: the rows of `df`, each as often as it is taken, with the columns of `df`."""
-    return mix(df, **options).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).where(
-        "copies > 0").select(*df.columns)
+def taken(df: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mixture itself: the rows of `df`, each as often as it is taken, with the columns of `df`.
+
+    Copies are worked out on rows without text and joined to the rows by key and a hash of all columns, so texts move
+    once. Rows equal in every column are taken together, as often as all of them are.
+    """
+    columns = [F.to_json(c) if "map<" in kind else F.col(c) for c, kind in df.dtypes]
+    marks = {f"__mark{n}": F.xxhash64(F.lit(n), *columns) for n in (1, 2)}
+    narrow = df.select(F.col(source).alias("__from"), F.col(key).alias("__id"), word_count(text).alias("__words"), *[c.alias(m) for m, c in marks.items()])
+    mixed = mix(narrow, source="__from", key="__id", words="__words", **options).where("copies > 0")
+    times = mixed.groupBy(as_text("__id").alias("__key"), *marks).agg(F.sum("copies").alias("__times"))
+    return (
+        once(df, marks, key).join(times, ["__key", *marks])
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*df.columns)
+    )
 
 
 @query("op1_mixing")
 def op1(spark, sf_dir):
-    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs.select("doc_id", "source", word_count().alias("words")), words="words")
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
         "copies", "rate", "source",
