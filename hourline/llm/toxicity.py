@@ -22,6 +22,7 @@ MAX_TERMS = 4_096
 MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic that a term needs
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
 BLOCK = 256  # examples per block of the index
+WORDS_KEPT = 200_000  # words whose terms a worker remembers
 
 
 def word_terms(word: str) -> list[str]:
@@ -94,18 +95,25 @@ class Model:
     shift: float = 0.0
     heads: set[str] = field(default_factory=set)
     _seen: dict = field(default_factory=dict, repr=False)
+    _words: dict = field(default_factory=dict, repr=False)
+
+    def places(self, word: str) -> tuple[int, ...]:
+        """Numbers of the model's terms that the word holds."""
+        if (known := self._words.get(word)) is None:
+            if len(self._words) > WORDS_KEPT:
+                self._words.clear()
+            known = ()
+            if word[:HEAD] in self.heads:
+                known = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
+            self._words[word] = known
+        return known
 
     def counts(self, text: str | None) -> dict[int, int]:
         """Counts of the model's terms in the whole text."""
-        words = words_of(text)
         found: dict[int, int] = {}
-        for word in set(words):
-            if word[:HEAD] in self.heads:
-                n = None
-                for term in word_terms(word):
-                    if (at := self.terms.get(term)) is not None:
-                        n = words.count(word) if n is None else n
-                        found[at] = found.get(at, 0) + n
+        for word, n in Counter(words_of(text)).items():
+            for at in self.places(word):
+                found[at] = found.get(at, 0) + n
         return found
 
     def vector(self, text: str | None) -> dict[int, float]:
