@@ -74,6 +74,18 @@ def test_mixing(docs, none):
             assert r["copies"] == 3
 
 
+def test_taken_rows_are_the_copies(docs, none):
+    copies, found = defaultdict(int), defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        copies[r["doc_id"], r["text"], r["source"]] += r["copies"]
+    rows = mixing.taken(docs)
+    assert rows.columns == docs.columns and mixing.taken(none).count() == 0
+    for r in rows.collect():
+        assert (r["size"], r["copies"], r["part"]) == ("s", "c", 1)
+        found[r["doc_id"], r["text"], r["source"]] += 1
+    assert found == {k: n for k, n in copies.items() if n}
+
+
 def test_mixing_meets_targets_again_and_again(spark, sf_dir):
     runs = [QUERIES["op1_mixing"](spark, sf_dir).collect() for _ in range(2)]
     assert sorted(runs[0]) == sorted(runs[1])
