@@ -209,7 +209,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     dealt = dealt.withColumn("__copy", F.explode(copies)).select(
         "__copy.part", "__copy.guard", *order, "text")
     return (
-        dealt.repartition(n, "part").sortWithinPartitions("part", "guard", *order)
+        dealt.repartitionById(n, F.col("part")).sortWithinPartitions("part", "guard", *order)
         .select("part", "doc", "text", "guard").mapInArrow(_compared, out).withColumnRenamed("doc", key)
     )
 
