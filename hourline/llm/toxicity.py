@@ -21,8 +21,9 @@ MAX_LABELLED = 40_000  # labelled rows the classifier is fitted on, about; drawn
 MAX_TERMS = 4_096
 MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic that a term needs
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
-BLOCK = 256  # examples per block of the index
+BLOCK = 2_048  # examples per block of the index
 WORDS_KEPT = 200_000  # words whose terms a worker remembers
+WORDS_PASSED = 1_000_000  # words without terms that it remembers
 
 
 def word_terms(word: str) -> list[str]:
@@ -96,29 +97,38 @@ class Model:
     heads: set[str] = field(default_factory=set)
     _seen: dict = field(default_factory=dict, repr=False)
     _words: dict = field(default_factory=dict, repr=False)
+    _without: set = field(default_factory=set, repr=False)  # words seen that hold no term
 
     def places(self, word: str) -> tuple[int, ...]:
         """Numbers of the model's terms that the word holds."""
         if (known := self._words.get(word)) is None:
-            if len(self._words) > WORDS_KEPT:
-                self._words.clear()
             known = ()
             if word[:HEAD] in self.heads:
                 known = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
+            if not known:
+                if len(self._without) > WORDS_PASSED:
+                    self._without.clear()
+                self._without.add(word)
+                return known
+            if len(self._words) > WORDS_KEPT:
+                self._words.clear()
             self._words[word] = known
         return known
 
     def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the model's terms in the whole text."""
+        """Counts of the model's terms in the whole text, by number of the term. Most words hold none: they
+        are passed over as a set, and only the others are counted."""
+        words = words_of(text)
+        telling = {w: at for w in set(words).difference(self._without) if (at := self.places(w))}
         found: dict[int, int] = {}
-        for word, n in Counter(words_of(text)).items():
-            for at in self.places(word):
+        for word, n in Counter(filter(telling.__contains__, words)).items() if telling else ():
+            for at in telling[word]:
                 found[at] = found.get(at, 0) + n
-        return found
+        return dict(sorted(found.items()))
 
-    def vector(self, text: str | None) -> dict[int, float]:
-        """Unit TF-IDF vector; empty without known terms."""
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(self.counts(text).items())}
+    def vector(self, counts: dict[int, int]) -> dict[int, float]:
+        """Unit TF-IDF vector of a text's counts; empty without known terms."""
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
         length = math.sqrt(sum(w * w for w in raw.values()))
         return {t: w / length for t, w in raw.items()} if length else {}
 
@@ -129,16 +139,15 @@ class Model:
     def calibrated(self, vote: float) -> float:
         return 1 / (1 + math.exp(-(self.slope * _logit(vote) + self.shift)))
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """(score, ids of the examples it rests on, their cosines)."""
+    def score(self, counts: dict[int, int]) -> tuple[float, list[int], list[float]]:
+        """(score, ids of the examples it rests on, their cosines) of a text's counts."""
         if self.index is None:
             return self.prior, [], []
-        vector = self.vector(text)
-        key = tuple(vector.items())
+        key = tuple(counts.items())
         if key not in self._seen:
             if len(self._seen) > 50_000:
                 self._seen.clear()
-            near, cosines = self.index.nearest(vector, NEIGHBOURS)
+            near, cosines = self.index.nearest(self.vector(counts), NEIGHBOURS)
             self._seen[key] = (self.calibrated(self.vote(near, cosines)), self.ids[near].tolist(), cosines.tolist())
         return self._seen[key]
 
@@ -198,13 +207,44 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
 
 
+TALLY = [T.StructField("__terms", T.ArrayType(T.IntegerType())), T.StructField("__counts", T.ArrayType(T.IntegerType()))]
+
+
+def tally(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns `keep` of `df` with `__terms` and `__counts`: the model's terms in the whole text, each with its count."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    source = df.select(F.col(text).alias("__tallied"), *keep)
+
+    def run(batches):
+        for batch in batches:
+            found = [shared.value.counts(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                [*keep, "__terms", "__counts"],
+            )
+
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[1:], *TALLY]))
+
+
+def _counts_in(batch) -> list[dict[int, int]]:
+    """The tallies of a batch, its last two columns."""
+    return [dict(zip(t, n, strict=True)) for t, n in zip(*(batch.column(i).to_pylist() for i in (-2, -1)), strict=True)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED) -> Model:
-    """A model from the labelled rows that are not held out, at most about `max_labelled` of them.
+    """The model of `fit_and_tally` alone, for scoring other rows."""
+    return fit_and_tally(docs, labels, [], key, text, max_labelled)[0]
+
 
-    Inverse document frequencies are counted over all documents. Votes are calibrated by a logistic curve
-    fitted on the examples, each voted on by its neighbours other than itself. Without labels every score is 0;
-    with one label only, or without telling terms, it is that label's share. Labels without an id or a value are not used;
-    repeated labels of an id count once, toxic if any says so.
+def fit_and_tally(
+    docs: DataFrame, labels: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED
+) -> tuple[Model, DataFrame]:
+    """A model from the labelled rows that are not held out, at most about `max_labelled` of them, and the tally of
+    all rows of `docs` that its inverse document frequencies were counted on, with the columns `keep`.
+
+    Votes are calibrated by a logistic curve fitted on the examples, each voted on by its neighbours other than
+    itself. Without labels every score is 0; with one label only, or without telling terms, it is that label's
+    share. Labels without an id or a value are not used; repeated labels of an id count once, toxic if any says so.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & ~held_out(key)).groupBy(key).agg(
@@ -219,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     prior = toxic / max(1, toxic + clean)
     empty = Model({}, np.empty(0), prior=prior)
     if not toxic or not clean:
-        return empty
+        return empty, tally(docs, empty, keep, text)
     # Only terms met in a few toxic texts can pass; the others are never counted among the clean ones.
     least = max(3, math.ceil(MIN_G2 / (2 * math.log((toxic + clean) / toxic)) * 0.5))
     often = _sums(rows.where("__toxic = 1"), _all_terms).where(F.col("n") >= least)
@@ -230,26 +270,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         counts[r["term"]][0] = r["n"]
     terms = _chosen_terms(counts, toxic, clean)
     if not terms:
-        return empty
+        return empty, tally(docs, empty, keep, text)
     model = Model({t: i for i, t in enumerate(terms)}, np.zeros(len(terms)), prior=prior, heads={t.rstrip("$")[:HEAD] for t in terms})
-    everywhere = dict.fromkeys(terms, 0)
-    everywhere |= {r["term"]: r["n"] for r in _sums(docs.select(text, F.lit(0)), _known(model)).collect()}
-    total = docs.count()
-    model.idf = np.array([math.log((1 + total) / (1 + everywhere[t])) + 1 for t in terms])
-
-    def vectors(batches):
-        for batch in batches:
-            found = [model.vector(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(1), pa.array([list(v) for v in found], pa.list_(pa.int32())), pa.array([list(v.values()) for v in found], pa.list_(pa.float64()))],
-                ["id", "toxic", "terms", "weights"],
-            )
-
-    kind = rows.schema["__id"].dataType.simpleString()
-    examples = rows.mapInArrow(vectors, f"id {kind}, toxic int, terms array<int>, weights array<double>")
-    without = {r[0]: r[1] for r in examples.where(F.size("terms") == 0).groupBy("toxic").count().collect()}
+    # The texts are read once: frequencies are counted on the tally, and scores are worked out from it.
+    tallied, _ = stored(tally(docs, model, keep, text), "tally")
+    everywhere = {r["term"]: r["count"] for r in tallied.select(F.explode("__terms").alias("term")).groupBy("term").count().collect()}
+    total = tallied.count()
+    model.idf = np.array([math.log((1 + total) / (1 + everywhere.get(t, 0))) + 1 for t in range(len(terms))])
+    examples, _ = stored(tally(rows, model, ["__id", "__toxic"], "__text"), "examples")
+    without = {r[0]: r[1] for r in examples.where(F.size("__terms") == 0).groupBy("__toxic").count().collect()}
     model.prior = (without.get(1, 0) + prior) / (sum(without.values()) + 1)
-    kept = [(r["id"], r["toxic"], dict(zip(r["terms"], r["weights"], strict=True))) for r in examples.where(F.size("terms") > 0).collect()]
+    kept = [(r[0], r[1], model.vector(dict(zip(r[2], r[3], strict=True)))) for r in examples.where(F.size("__terms") > 0).collect()]
     # Examples with the same strongest terms lie side by side, so that blocks differ and bounds are tight.
     kept.sort(key=lambda e: ([t for t, _ in sorted(e[2].items(), key=lambda x: (-x[1], x[0]))], e[1], e[0]))
     model.ids, model.toxic = np.array([e[0] for e in kept]), np.array([float(e[1]) for e in kept])
@@ -261,16 +292,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         place = {i: n for n, i in enumerate(own.ids.tolist())}
         for batch in batches:
             out = []
-            for text, key in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                near, cosines = own.index.nearest(own.vector(text), NEIGHBOURS + 1)
+            for key, counts in zip(batch.column(0).to_pylist(), _counts_in(batch), strict=True):
+                near, cosines = own.index.nearest(own.vector(counts), NEIGHBOURS + 1)
                 others = near != place.get(key, -1)
                 out.append(own.vote(near[others][:NEIGHBOURS], cosines[others][:NEIGHBOURS]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(1)], ["vote", "toxic"])
 
-    pairs = rows.mapInArrow(votes, "vote double, toxic int").groupBy(F.round("vote", 4).alias("vote"), "toxic").count().orderBy("vote", "toxic").collect()
+    pairs = examples.mapInArrow(votes, "vote double, toxic int").groupBy(F.round("vote", 4).alias("vote"), "toxic").count().orderBy("vote", "toxic").collect()
     model.slope, model.shift = _logistic(
         np.array([_logit(r["vote"]) for r in pairs]), np.array([float(r["toxic"]) for r in pairs]), np.array([float(r["count"]) for r in pairs]))
-    return model
+    return model, tallied
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -291,38 +322,45 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`df` with `score`, `neighbours` (ids of the examples behind it) and `cosines`. Columns of these names are
     replaced; NULL and empty texts get the score of a text without telling terms."""
     base = df.drop("score", "neighbours", "cosines")
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    return score_tally(tally(base, model, base.columns, text), model)
+
+
+def score_tally(tallied: DataFrame, model: Model) -> DataFrame:
+    """As `score`, of rows that are tallied already; the tally is dropped."""
+    shared = tallied.sparkSession.sparkContext.broadcast(model)
     kind = "bigint" if model.ids is None else {"i": "bigint", "u": "bigint"}.get(model.ids.dtype.kind, "string")
-    at = base.columns.index(text)
+    names = tallied.columns[:-2]
 
     def run(batches):
         own = shared.value
         for batch in batches:
-            out = [own.score(t) for t in batch.column(at).to_pylist()]
+            out = [own.score(c) for c in _counts_in(batch)]
             ids = [[i if kind == "bigint" else str(i) for i in r[1]] for r in out]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([r[0] for r in out], pa.float64()),
+                [*batch.columns[:-2], pa.array([r[0] for r in out], pa.float64()),
                  pa.array(ids, pa.list_(pa.int64() if kind == "bigint" else pa.string())), pa.array([r[2] for r in out], pa.list_(pa.float64()))],
-                [*batch.schema.names, "score", "neighbours", "cosines"],
+                [*names, "score", "neighbours", "cosines"],
             )
 
-    schema = T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType()),
+    schema = T.StructType([*tallied.schema.fields[:-2], T.StructField("score", T.DoubleType()),
                            T.StructField("neighbours", T.ArrayType(T.LongType() if kind == "bigint" else T.StringType())),
                            T.StructField("cosines", T.ArrayType(T.DoubleType()))])
-    return base.mapInArrow(run, schema)
+    return tallied.mapInArrow(run, schema)
 
 
-def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+def drop_toxic(
+    df: DataFrame, labels: DataFrame, threshold: float = 0.5, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED
+) -> DataFrame:
     """The rows of `df` whose score is below the threshold, with the columns of `df`."""
-    marked = df.select(F.col(options.get("text", "text")).alias("__text"), F.struct(*df.columns).alias("__row"))
-    scored = score(marked, fit(df, labels, **options), "__text")
-    return scored.where(F.col("score") < threshold).select("__row.*")
+    marked = df.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.struct(*df.columns).alias("__row"))
+    model, tallied = fit_and_tally(marked, labels.withColumnRenamed(key, "__key"), ["__row"], "__key", "__text", max_labelled)
+    return score_tally(tallied, model).where(F.col("score") < threshold).select("__row.*")
 
 
 @query("op7_toxicity")
 def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    scored = score_tally(*reversed(fit_and_tally(docs, table(spark, sf_dir, "labels"), ["doc_id"])))
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "cosines",
     )
