@@ -186,7 +186,7 @@ def repair(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     keyed = df.select(
         F.col(conv).alias("conv_id"), F.coalesce(F.concat(F.lit("="), F.col(conv).cast("string")), F.lit("")).alias("conv"),
         F.col(turn).alias("turn"), F.col(turn).isNull().alias("last_turn"), code.cast("int").alias("code"),
-        F.xxhash64(F.col(role), F.col(text)).alias("stamp"), F.col(text).alias("text"),
+        F.xxhash64(role, text, F.col(role).isNull(), F.col(text).isNull()).alias("stamp"), F.col(text).alias("text"),
     ).withColumn("turn_key", F.coalesce(F.col("turn").cast("string"), F.lit("")))
     order = [F.col("last_turn"), F.col("turn"), F.col("stamp")]
     ranked = running(keyed.drop("text"), ["conv"], order, {"n": F.lit(1).cast("bigint")}, "turns")
@@ -205,10 +205,10 @@ def repair(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
         .mapInArrow(_solved, "conv string, position long, new_role string, action string, inserted string, cost int")
     )
     steps = ranked.join(solved, ["conv", "position"])
-    same = Window.partitionBy("conv", "turn_key", "stamp")
-    steps = steps.withColumn("nth", F.row_number().over(same.orderBy("position"))).drop("code", "block")
-    texts = keyed.select("conv_id", "conv", "turn", "turn_key", "stamp", "text").withColumn("nth", F.row_number().over(same.orderBy(F.lit(0))))
-    rows = texts.join(steps, ["conv", "turn_key", "stamp", "nth"])
+    # Turns of equal conversation, number, role and text share one text, so that texts move once, by the join's own key.
+    same = Window.partitionBy("conv", "turn_key", "stamp").orderBy(F.lit(0))
+    texts = keyed.select("conv_id", "conv", "turn", "turn_key", "stamp", "text").withColumn("nth", F.row_number().over(same))
+    rows = texts.where("nth = 1").join(steps.drop("code", "block"), ["conv", "turn_key", "stamp"])
     end, head = F.lit("<|end|>\n"), lambda r: F.concat(F.lit("<|"), r, F.lit("|>\n"))
     closing = F.when(F.col("position") == 0, "").otherwise(end)
     body = F.coalesce("text", F.lit(""))
