@@ -123,6 +123,10 @@ def test_chat_finds_the_least_cost(spark, monkeypatch):
     joined = "".join(r["segment"] for r in sorted((r for r in out if r["conv_id"] is None), key=lambda r: (r["position"], r["part"])))
     assert joined == "<|user|>\n\n\n<|end|>\n<|assistant|>\nb<|end|>\n"
     assert chat.repair(df.where("false")).count() == 0
+    # Turns of one number that differ only in which of role and text is NULL keep their own texts; equal turns all stay.
+    alike = spark.createDataFrame([(1, 0, "user", None), (1, 0, None, "user"), (1, 0, None, "user")], "conv_id long, turn int, role string, text string")
+    kept = [r["segment"] for r in chat.repair(alike).collect() if r["part"] == 1]
+    assert len(kept) == 3 and sum("user" in k.split("|>\n")[-1] for k in kept) == 2
 
 
 def test_exact_dedup(spark, docs, none):
