@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from array import array
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +19,30 @@ from pyspark.sql import types as T
 from hourline.llm.common import query, stored, table
 
 WORD = re.compile(r"[^\W\d_]+")
+# Scripts written without spaces between words: Thai to Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+LONG_RUN = 24  # letters above which a run is also read by its beginnings anywhere in it, of RUN_PIECE letters
+RUN_PIECE = 5
 HEAD, TAIL = 4, 9  # lengths of the word beginnings that are terms besides whole words
 MAX_LABELLED = 40_000  # labelled rows the classifier is fitted on, about; drawn by a hash of their id
-MAX_TERMS = 4_096
-MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic that a term needs
+DIMENSIONS = 1 << 19  # all words are hashed to these; telling terms have dimensions of their own after them
+MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic above which a term weighs more
+TELLING = 8.0  # weight of a telling term per unit of log odds, where a word weighs its inverse document frequency
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
-BLOCK = 2_048  # examples per block of the index
-WORDS_KEPT = 200_000  # words whose terms a worker remembers
-WORDS_PASSED = 1_000_000  # words without terms that it remembers
+DENSE = 512  # dimensions in most examples, held as a matrix
+TOGETHER = 64  # texts compared with all examples at a time
+WORDS_KEPT = 200_000  # words whose dimensions a worker remembers
+
+
+def pieces(word: str) -> list[str]:
+    """A word, or what stands for words in a run without spaces: pairs of characters, or parts of a long run and the run."""
+    if len(word) <= LONG_RUN and word.isascii():
+        return [word]
+    if UNSPACED.search(word):
+        return [word[i : i + 2] for i in range(max(1, len(word) - 1))]
+    if len(word) > LONG_RUN:
+        return [word, *[word[i : i + RUN_PIECE] for i in range(len(word) - RUN_PIECE + 1)]]
+    return [word]
 
 
 def word_terms(word: str) -> list[str]:
@@ -36,120 +55,146 @@ def words_of(text: str | None) -> list[str]:
 
 
 @dataclass
-class BlockMaxIndex:
-    """Postings of unit vectors, cut into blocks of neighbouring examples, with each term's largest weight
-    per block. `nearest` is exact: a block whose bound is below the k-th best so far cannot change it."""
+class CosineIndex:
+    """Unit vectors of the examples, all of them: postings, and a matrix of the dimensions that most examples have."""
 
-    terms: int
-    start: np.ndarray  # first posting of (term, block)
+    size: int
+    start: np.ndarray  # first posting of a dimension
     example: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # (term, block): the largest weight
-    size: int
+    column: np.ndarray  # place of a dimension in the matrix, or -1
+    dense: np.ndarray  # (place, example)
+
+    @classmethod
+    def build(cls, rows: list[dict[int, float]], dimensions: int) -> CosineIndex:
+        return cls.of(
+            np.array([i for i, r in enumerate(rows) for _ in r], np.int32), np.array([t for r in rows for t in r], np.int32),
+            np.array([w for r in rows for w in r.values()], np.float32), len(rows), dimensions)
 
     @classmethod
-    def build(cls, rows: list[dict[int, float]], terms: int) -> BlockMaxIndex:
-        blocks = max(1, -(-len(rows) // BLOCK))
-        term = np.array([t for r in rows for t in r], np.int64)
-        example = np.array([i for i, r in enumerate(rows) for _ in r], np.int64)
-        weight = np.array([w for r in rows for w in r.values()], np.float64)
-        cell = term * blocks + example // BLOCK
-        order = np.lexsort((example, cell))
-        cell, example, weight = cell[order], example[order], weight[order]
-        most = np.zeros(terms * blocks)
-        np.maximum.at(most, cell, weight)
-        start = np.searchsorted(cell, np.arange(terms * blocks + 1))
-        return cls(terms, start, example, weight, most.reshape(terms, blocks), len(rows))
+    def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> CosineIndex:
+        held = np.bincount(dimension, minlength=dimensions)
+        common = np.argsort(-held, kind="stable")[:DENSE]
+        common = common[held[common] * 100 > size]
+        column = np.full(dimensions, -1, np.int32)
+        column[common] = np.arange(len(common))
+        dense = np.zeros((len(common), size), np.float32)
+        there = column[dimension] >= 0
+        dense[column[dimension[there]], example[there]] = weight[there]
+        example, dimension, weight = example[~there], dimension[~there], weight[~there]
+        order = np.argsort(dimension, kind="stable")
+        start = np.concatenate([[0], np.cumsum(np.bincount(dimension, minlength=dimensions))])
+        return cls(size, start, example[order], weight[order], column, dense)
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, best first, ties by example."""
-        ids, values = np.array(list(vector), np.int64), np.array(list(vector.values()))
-        blocks = self.most.shape[1]
-        bounds = values @ self.most[ids] if len(ids) else np.zeros(blocks)
-        found, cosines = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(found) == k and bounds[block] < cosines[-1] - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for t, v in zip(ids.tolist(), values.tolist(), strict=True):
-                cell = t * blocks + block
-                a, b = self.start[cell], self.start[cell + 1]
-                if a < b:
-                    scores[self.example[a:b] - block * BLOCK] += v * self.weight[a:b]
-            hit = np.flatnonzero(scores)
-            found = np.concatenate([found, hit + block * BLOCK])
-            cosines = np.concatenate([cosines, scores[hit]])
-            best = np.lexsort((found, -np.round(cosines, 12)))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines
+        ids, values = np.array(list(vector), np.int64), np.array(list(vector.values()), np.float64)
+        return next(self.nearest_all(np.array([0, len(ids)]), ids, values, k))
+
+    def nearest_all(self, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
+        """`nearest` of each vector; vector i has the dimensions ids[at[i]:at[i + 1]]. Every example is compared. The matrix
+        is multiplied in single precision, and what comes within its error of the k-th best is added up again in double."""
+        for first in range(0, len(at) - 1, TOGETHER):
+            last = min(first + TOGETHER, len(at) - 1)
+            common = np.zeros((last - first, len(self.dense)))
+            for i in range(first, last):
+                place = self.column[ids[at[i] : at[i + 1]]]
+                common[i - first, place[place >= 0]] = values[at[i] : at[i + 1]][place >= 0]
+            products = common.astype(np.float32) @ self.dense
+            for i in range(first, last):
+                own = ids[at[i] : at[i + 1]]
+                begin = self.start[own]
+                n = self.start[own + 1] - begin
+                posting = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+                rare = np.bincount(self.example[posting], self.weight[posting] * np.repeat(values[at[i] : at[i + 1]], n), self.size)
+                rough = rare + products[i - first]
+                least = np.partition(rough, self.size - k)[self.size - k] if self.size > k else 0.0
+                found = np.flatnonzero(rough >= least - 1e-5) if least > 1e-5 else np.flatnonzero(rough > 0)
+                cosines = rare[found] + common[i - first] @ self.dense[:, found].astype(np.float64)
+                best = np.lexsort((found, -np.round(cosines, 9)))[:k]
+                yield found[best], cosines[best]
+
+
+BlockMaxIndex = CosineIndex  # the name it is tested by
+
+
+class Learned:
+    """The labelled examples as workers need them: `index`, `weights` of the dimensions, `toxic` (1 or 0) and `ids`. It is
+    shipped as packed counts, a few bytes a word, and unpacked once per worker, so that the driver never builds an index."""
+
+    def __init__(self, tally: pa.RecordBatch, held: np.ndarray, total: int, telling: list[float]):
+        at, terms = tally.column(2).offsets.to_numpy(), tally.column(2).flatten().to_numpy()
+        steps = np.diff(terms, prepend=np.int32(0))
+        pack = lambda x: (x.dtype.str, zlib.compress(np.ascontiguousarray(x), 1))
+        self.packed = (
+            [pack(x) for x in (at - at[0], steps, tally.column(3).flatten().to_numpy(), held, tally.column(1).to_numpy())],
+            tally.column(0).to_pylist(), total, telling)
+
+    def __getstate__(self):
+        return self.packed
+
+    def __setstate__(self, packed):
+        arrays, ids, total, telling = packed
+        at, steps, counts, held, toxic = (np.frombuffer(zlib.decompress(x), kind) for kind, x in arrays)
+        self.weights = np.log((1 + total) / (1 + held)) + 1
+        self.weights[DIMENSIONS:] = TELLING * np.array(telling)
+        self.toxic, self.ids = toxic.astype(np.float64), np.array(ids)
+        terms = np.cumsum(steps, dtype=np.int32)
+        example = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(at))
+        self.index = CosineIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(ids)).astype(np.float32), len(ids), len(held))
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]
-    idf: np.ndarray
-    index: BlockMaxIndex | None = None
-    toxic: np.ndarray | None = None
-    ids: np.ndarray | None = None
+    """What scores texts. The index and the weights of the dimensions are large: workers read them from `held`."""
+
+    terms: dict[str, int]  # telling terms and their dimensions
+    heads: set[str] = field(default_factory=set)
+    held: Broadcast | None = None  # of Learned
+    text_ids: bool = False
     prior: float = 0.0
     slope: float = 1.0
     shift: float = 0.0
-    heads: set[str] = field(default_factory=set)
-    _seen: dict = field(default_factory=dict, repr=False)
     _words: dict = field(default_factory=dict, repr=False)
-    _without: set = field(default_factory=set, repr=False)  # words seen that hold no term
 
     def places(self, word: str) -> tuple[int, ...]:
-        """Numbers of the model's terms that the word holds."""
+        """Dimensions of the word: a hashed one for each piece, and those of the telling terms it holds."""
         if (known := self._words.get(word)) is None:
-            known = ()
-            if word[:HEAD] in self.heads:
-                known = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
-            if not known:
-                if len(self._without) > WORDS_PASSED:
-                    self._without.clear()
-                self._without.add(word)
-                return known
+            parts = pieces(word)
+            known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
+                     *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
             if len(self._words) > WORDS_KEPT:
                 self._words.clear()
             self._words[word] = known
         return known
 
     def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the model's terms in the whole text, by number of the term. Most words hold none: they
-        are passed over as a set, and only the others are counted."""
-        words = words_of(text)
-        telling = {w: at for w in set(words).difference(self._without) if (at := self.places(w))}
+        """Counts of the dimensions of all words of the text."""
         found: dict[int, int] = {}
-        for word, n in Counter(filter(telling.__contains__, words)).items() if telling else ():
-            for at in telling[word]:
+        known = self._words.get
+        for word, n in Counter(words_of(text)).items():
+            for at in known(word) or self.places(word):
                 found[at] = found.get(at, 0) + n
         return dict(sorted(found.items()))
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        """Unit TF-IDF vector of a text's counts; empty without known terms."""
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / length for t, w in raw.items()} if length else {}
+    def telling(self, text: str | None) -> set[str]:
+        """The telling terms of the text."""
+        return {t for w in set(words_of(text)) for p in pieces(w) if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms}
 
-    def vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
+    def vote(self, toxic: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic among the neighbours, weighted by cosine, with the prior as one weak neighbour."""
-        return (float(cosines @ self.toxic[examples]) + PRIOR_WEIGHT * self.prior) / (float(cosines.sum()) + PRIOR_WEIGHT)
+        return (float(cosines @ toxic) + PRIOR_WEIGHT * self.prior) / (float(cosines.sum()) + PRIOR_WEIGHT)
 
     def calibrated(self, vote: float) -> float:
         return 1 / (1 + math.exp(-(self.slope * _logit(vote) + self.shift)))
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int], list[float]]:
-        """(score, ids of the examples it rests on, their cosines) of a text's counts."""
-        if self.index is None:
-            return self.prior, [], []
-        key = tuple(counts.items())
-        if key not in self._seen:
-            if len(self._seen) > 50_000:
-                self._seen.clear()
-            near, cosines = self.index.nearest(self.vector(counts), NEIGHBOURS)
-            self._seen[key] = (self.calibrated(self.vote(near, cosines)), self.ids[near].tolist(), cosines.tolist())
-        return self._seen[key]
+    def scores(self, batch) -> list[tuple[float, list, list[float]]]:
+        """(score, ids of the examples it rests on, their cosines) of each row of a tally."""
+        if self.held is None:
+            return [(self.prior, [], [])] * batch.num_rows
+        own = self.held.value
+        return [(self.calibrated(self.vote(own.toxic[near], cosines)), own.ids[near].tolist(), cosines.tolist())
+                for near, cosines in own.index.nearest_all(*_vectors(batch, own.weights), NEIGHBOURS)]
 
 
 def _logit(p: float) -> float:
@@ -171,12 +216,7 @@ def _counted(batches, terms_of):
 
 
 def _all_terms(text):
-    return {t for w in set(words_of(text)) for t in word_terms(w)}
-
-
-def _known(model: Model):
-    names = list(model.terms)
-    return lambda text: [names[t] for t in model.counts(text)]
+    return {t for w in set(words_of(text)) for p in pieces(w) for t in word_terms(p)}
 
 
 def _sums(texts: DataFrame, terms_of) -> DataFrame:
@@ -189,17 +229,17 @@ def _g2(a: float, b: float, toxic: float, clean: float) -> float:
     return 2 * sum(x * math.log(x / e) for x, e in cells if x > 0 and e > 0)
 
 
-def _chosen_terms(counts: dict[str, list[int]], toxic: int, clean: int) -> list[str]:
-    """The terms that speak for toxic most clearly; of beginnings and words met in the same texts the longest."""
+def _telling_terms(counts: dict[str, list[int]], toxic: int, clean: int) -> dict[str, float]:
+    """The terms that speak for toxic clearly, with their log odds; of beginnings and words met in the same texts the longest."""
     good = []
     for term, (b, a) in counts.items():
         odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
-        if odds > MIN_ODDS and (g2 := _g2(a, b, toxic, clean)) >= MIN_G2:
-            good.append((g2, len(term), term, (a, b, term[:HEAD])))
+        if odds > MIN_ODDS and _g2(a, b, toxic, clean) >= MIN_G2:
+            good.append((len(term), term, (a, b, term[:HEAD]), odds))
     longest: dict[tuple, tuple] = {}
-    for row in sorted(good, key=lambda r: (r[1], r[2])):
-        longest[row[3]] = row
-    return [row[2] for row in sorted(longest.values(), key=lambda r: (-r[0], r[2]))[:MAX_TERMS]]
+    for row in sorted(good):
+        longest[row[2]] = row
+    return {row[1]: row[3] for row in sorted(longest.values())}
 
 
 def held_out(key: str = "doc_id"):
@@ -211,24 +251,53 @@ TALLY = [T.StructField("__terms", T.ArrayType(T.IntegerType())), T.StructField("
 
 
 def tally(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` of `df` with `__terms` and `__counts`: the model's terms in the whole text, each with its count."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    """The columns `keep` of `df` with `__terms` and `__counts`: the dimensions of all words of the whole text, each with its count."""
+    own = replace(model, held=None)
     source = df.select(F.col(text).alias("__tallied"), *keep)
 
     def run(batches):
         for batch in batches:
-            found = [shared.value.counts(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                [*keep, "__terms", "__counts"],
-            )
+            at, terms, counts = array("i", [0]), array("i"), array("i")
+            for t in batch.column(0).to_pylist():
+                found = own.counts(t)
+                terms.extend(found)
+                counts.extend(found.values())
+                at.append(len(terms))
+            lists = [pa.ListArray.from_arrays(pa.array(np.array(at, np.int32)), pa.array(np.array(x, np.int32))) for x in (terms, counts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *lists], [*keep, "__terms", "__counts"])
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields[1:], *TALLY]))
 
 
-def _counts_in(batch) -> list[dict[int, int]]:
-    """The tallies of a batch, its last two columns."""
-    return [dict(zip(t, n, strict=True)) for t, n in zip(*(batch.column(i).to_pylist() for i in (-2, -1)), strict=True)]
+def _vectors(batch, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, dimensions, weights) of the unit vectors of a tally, its last two columns; empty without words."""
+    terms, counts = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+    at = terms.offsets.to_numpy().astype(np.int64)
+    ids = terms.flatten().to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+    return at - at[0], ids, _unit(row, ids, counts.flatten().to_numpy(), weights, batch.num_rows)
+
+
+def _unit(row: np.ndarray, ids: np.ndarray, counts: np.ndarray, weights: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of the counts, each row scaled to a length of 1."""
+    values = (1 + np.log(counts)) * weights[ids]
+    return values / np.sqrt(np.bincount(row, values * values, rows))[row]
+
+
+def _frequencies(tallied: DataFrame, dimensions: int) -> np.ndarray:
+    """In how many texts each dimension is."""
+
+    def run(batches):
+        held = np.zeros(dimensions, np.int64)
+        for batch in batches:
+            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=dimensions)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], ["term", "n"])
+
+    sums = tallied.select("__terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(dimensions, np.int64)
+    held[sums["term"].to_numpy()] = sums["n"].to_numpy()
+    return held
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED) -> Model:
@@ -243,7 +312,7 @@ def fit_and_tally(
     all rows of `docs` that its inverse document frequencies were counted on, with the columns `keep`.
 
     Votes are calibrated by a logistic curve fitted on the examples, each voted on by its neighbours other than
-    itself. Without labels every score is 0; with one label only, or without telling terms, it is that label's
+    itself. Without labels every score is 0; with one label only it is that label's
     share. Labels without an id or a value are not used; repeated labels of an id count once, toxic if any says so.
     """
     spark = docs.sparkSession
@@ -257,45 +326,35 @@ def fit_and_tally(
     totals = {r[0]: r[1] for r in rows.groupBy("__toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     prior = toxic / max(1, toxic + clean)
-    empty = Model({}, np.empty(0), prior=prior)
+    model = Model({}, prior=prior)
     if not toxic or not clean:
-        return empty, tally(docs, empty, keep, text)
-    # Only terms met in a few toxic texts can pass; the others are never counted among the clean ones.
+        return model, tally(docs, model, keep, text)
+    # Only terms met in a few toxic texts can be telling; the others are never counted among the clean ones.
     least = max(3, math.ceil(MIN_G2 / (2 * math.log((toxic + clean) / toxic)) * 0.5))
-    often = _sums(rows.where("__toxic = 1"), _all_terms).where(F.col("n") >= least)
-    first = {r["term"]: r["n"] for r in often.orderBy(F.desc("n"), "term").limit(50 * MAX_TERMS).collect()}
-    trial = Model({t: i for i, t in enumerate(first)}, np.empty(0), heads={t.rstrip("$")[:HEAD] for t in first})
+    first = {r["term"]: r["n"] for r in _sums(rows.where("__toxic = 1"), _all_terms).where(F.col("n") >= least).collect()}
+    trial = Model(dict.fromkeys(first, 0), {t.rstrip("$")[:HEAD] for t in first})
     counts = {t: [0, n] for t, n in first.items()}
-    for r in _sums(rows.where("__toxic = 0"), _known(trial)).collect():
+    for r in _sums(rows.where("__toxic = 0"), trial.telling).collect() if first else ():
         counts[r["term"]][0] = r["n"]
-    terms = _chosen_terms(counts, toxic, clean)
-    if not terms:
-        return empty, tally(docs, empty, keep, text)
-    model = Model({t: i for i, t in enumerate(terms)}, np.zeros(len(terms)), prior=prior, heads={t.rstrip("$")[:HEAD] for t in terms})
+    odds = _telling_terms(counts, toxic, clean)
+    model.terms = {t: DIMENSIONS + i for i, t in enumerate(odds)}
+    model.heads = {t.rstrip("$")[:HEAD] for t in odds}
     # The texts are read once: frequencies are counted on the tally, and scores are worked out from it.
     tallied, _ = stored(tally(docs, model, keep, text), "tally")
-    everywhere = {r["term"]: r["count"] for r in tallied.select(F.explode("__terms").alias("term")).groupBy("term").count().collect()}
-    total = tallied.count()
-    model.idf = np.array([math.log((1 + total) / (1 + everywhere.get(t, 0))) + 1 for t in range(len(terms))])
+    held, total = _frequencies(tallied, DIMENSIONS + len(odds)), tallied.count()
     examples, _ = stored(tally(rows, model, ["__id", "__toxic"], "__text"), "examples")
-    without = {r[0]: r[1] for r in examples.where(F.size("__terms") == 0).groupBy("__toxic").count().collect()}
-    model.prior = (without.get(1, 0) + prior) / (sum(without.values()) + 1)
-    kept = [(r[0], r[1], model.vector(dict(zip(r[2], r[3], strict=True)))) for r in examples.where(F.size("__terms") > 0).collect()]
-    # Examples with the same strongest terms lie side by side, so that blocks differ and bounds are tight.
-    kept.sort(key=lambda e: ([t for t, _ in sorted(e[2].items(), key=lambda x: (-x[1], x[0]))], e[1], e[0]))
-    model.ids, model.toxic = np.array([e[0] for e in kept]), np.array([float(e[1]) for e in kept])
-    model.index = BlockMaxIndex.build([e[2] for e in kept], len(terms))
-    shared = spark.sparkContext.broadcast(model)
+    # All examples, in an order that does not know the label.
+    learned = examples.orderBy(F.xxhash64(F.lit("order"), "__id"), "__id").toArrow().combine_chunks().to_batches()[0]
+    model.text_ids = not pa.types.is_integer(learned.column(0).type)
+    model.held = spark.sparkContext.broadcast(Learned(learned, held, total, list(odds.values())))
 
     def votes(batches):
-        own = shared.value
-        place = {i: n for n, i in enumerate(own.ids.tolist())}
+        own = model.held.value
         for batch in batches:
             out = []
-            for key, counts in zip(batch.column(0).to_pylist(), _counts_in(batch), strict=True):
-                near, cosines = own.index.nearest(own.vector(counts), NEIGHBOURS + 1)
-                others = near != place.get(key, -1)
-                out.append(own.vote(near[others][:NEIGHBOURS], cosines[others][:NEIGHBOURS]))
+            for key, (near, cosines) in zip(batch.column(0).to_pylist(), own.index.nearest_all(*_vectors(batch, own.weights), NEIGHBOURS + 1), strict=True):
+                others = own.ids[near] != key
+                out.append(model.vote(own.toxic[near[others]][:NEIGHBOURS], cosines[others][:NEIGHBOURS]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(1)], ["vote", "toxic"])
 
     pairs = examples.mapInArrow(votes, "vote double, toxic int").groupBy(F.round("vote", 4).alias("vote"), "toxic").count().orderBy("vote", "toxic").collect()
@@ -320,30 +379,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`df` with `score`, `neighbours` (ids of the examples behind it) and `cosines`. Columns of these names are
-    replaced; NULL and empty texts get the score of a text without telling terms."""
+    replaced; NULL and empty texts get the score of a text without words."""
     base = df.drop("score", "neighbours", "cosines")
     return score_tally(tally(base, model, base.columns, text), model)
 
 
 def score_tally(tallied: DataFrame, model: Model) -> DataFrame:
     """As `score`, of rows that are tallied already; the tally is dropped."""
-    shared = tallied.sparkSession.sparkContext.broadcast(model)
-    kind = "bigint" if model.ids is None else {"i": "bigint", "u": "bigint"}.get(model.ids.dtype.kind, "string")
     names = tallied.columns[:-2]
 
     def run(batches):
-        own = shared.value
         for batch in batches:
-            out = [own.score(c) for c in _counts_in(batch)]
-            ids = [[i if kind == "bigint" else str(i) for i in r[1]] for r in out]
+            out = model.scores(batch)
+            ids = [[str(i) for i in r[1]] if model.text_ids else r[1] for r in out]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-2], pa.array([r[0] for r in out], pa.float64()),
-                 pa.array(ids, pa.list_(pa.int64() if kind == "bigint" else pa.string())), pa.array([r[2] for r in out], pa.list_(pa.float64()))],
+                 pa.array(ids, pa.list_(pa.string() if model.text_ids else pa.int64())), pa.array([r[2] for r in out], pa.list_(pa.float64()))],
                 [*names, "score", "neighbours", "cosines"],
             )
 
     schema = T.StructType([*tallied.schema.fields[:-2], T.StructField("score", T.DoubleType()),
-                           T.StructField("neighbours", T.ArrayType(T.LongType() if kind == "bigint" else T.StringType())),
+                           T.StructField("neighbours", T.ArrayType(T.StringType() if model.text_ids else T.LongType())),
                            T.StructField("cosines", T.ArrayType(T.DoubleType()))])
     return tallied.mapInArrow(run, schema)
 

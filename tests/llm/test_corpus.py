@@ -251,6 +251,20 @@ def test_nearest_examples_are_exact():
         assert np.allclose(values, np.sort(cosines)[::-1][:10]) and np.allclose(cosines[found], values)
 
 
+def test_all_words_and_examples_are_compared(spark):
+    """Examples without a telling term stay in the index, and a copy of one finds it; so does a run without spaces."""
+    said = ["".join(chr(97 + (i * k + k) % 26) for k in range(3, 8)) for i in range(400)]
+    texts = [" ".join(said[(i * 7 + j * j) % 400] for j in range(30)) for i in range(60)] + ["这是一个完全不同的句子"]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5][: len(texts)]
+    known = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(n % 10 == 0)) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    model = toxicity.fit(known, labels)
+    asked = spark.createDataFrame([(-1, texts[10]), (-2, texts[11]), (-3, "开头" + texts[-1])], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in toxicity.score(asked, model).collect()}
+    assert found[-1]["neighbours"][0] == ids[10] and found[-2]["neighbours"][0] == ids[11] and found[-3]["neighbours"][0] == ids[-1]
+    assert abs(found[-1]["cosines"][0] - 1) < 1e-6 and found[-1]["score"] > found[-2]["score"]
+
+
 def test_archives(spark, none):
     pages = [(1, "http://a/ b\r\n", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u", None), (4, "u", ""), (5, "u", LONG), (5, "u", LONG), (None, "u", "z")]
     df = spark.createDataFrame([(*p, "c") for p in pages], "page_id long, url string, html string, chunk string")
