@@ -37,12 +37,19 @@ TEMPLATES = {
     "gpl-2.0": (
         "This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version.",
     ),
     "lgpl-3.0": (
         "This library is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ),
+    "lgpl-2.1": (
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.",
     ),
     "agpl-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
     ),
     "bsd-3-clause": (
         "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause",
@@ -95,25 +102,54 @@ class Classifier:
         return p / p.sum()
 
     def find(self, text: str | None) -> tuple[int, list[dict]]:
-        """(paragraphs, notices found): paragraphs are lines with a word; spans are code points of the whole text."""
+        """(paragraphs, notices found): a paragraph is a run of lines with words; a notice is one or more lines of it, wherever
+        they are wrapped. Spans are code points of the whole text."""
         found, count, at = [], 0, 0
-        for line in (text or "").split("\n"):
+        lines: list[tuple[int, int, list[str]]] = []  # of the paragraph so far: start, stop, words
+        for line in [*(text or "").split("\n"), ""]:
             start, at = at, at + len(line) + 1
-            words = tokens(line)
-            if not words:
-                continue
-            count += 1
-            # Without a cue no feature is known, and the bias alone says unknown.
+            if words := tokens(line):
+                lines.append((start, start + len(line), words))
+            elif lines:
+                found += [{"paragraph": count, **notice} for notice in self._notices(lines)]
+                count, lines = count + 1, []
+        return count, found
+
+    def _notices(self, lines: list[tuple[int, int, list[str]]]) -> list[dict]:
+        """The notices of a paragraph: windows of lines, those with most of a template first and of equal ones the shortest, none overlapping."""
+        # Without a cue no feature is known, and the bias alone says unknown.
+        if all(self.cues.isdisjoint(words) for _, _, words in lines):
+            return []
+        held = _template_words.intersection(zip(whole := [w for _, _, words in lines for w in words], whole[1:]))
+        if not any(len(held & t) >= LEAST_SIMILARITY * len(t) for ts in _template_pairs.values() for t in ts):
+            return []
+        windows = []
+        for i, (start, _, words) in enumerate(lines):
             if self.cues.isdisjoint(words):
                 continue
-            p = self.probabilities(words)
-            best = int(p.argmax())
-            if best < len(self.families) - 1 and p[best] >= LEAST_PROBABILITY:
-                likeness = similarity(words, self.families[best])
-                if likeness >= LEAST_SIMILARITY:
-                    found.append({"paragraph": count - 1, "start": start, "stop": start + len(line), "family": self.families[best],
-                                  "probability": float(p[best]), "similarity": likeness})
-        return count, found
+            window: list[str] = []
+            for j in range(i, len(lines)):
+                if j > i and len(window) + len(lines[j][2]) > WINDOW_WORDS:
+                    break
+                window = window + lines[j][2]
+                own = held.intersection(zip(window, window[1:]))
+                if not any(len(own & t) >= LEAST_SIMILARITY * len(t) for ts in _template_pairs.values() for t in ts):
+                    continue
+                p = self.probabilities(window)
+                best = int(p.argmax())
+                if best < len(self.families) - 1 and p[best] >= LEAST_PROBABILITY:
+                    likeness = similarity(window, self.families[best])
+                    if likeness >= LEAST_SIMILARITY:
+                        most = max(len(own & t) for t in _template_pairs[self.families[best]] if len(own & t) >= LEAST_SIMILARITY * len(t))
+                        windows.append((-most, j - i, i, {"start": start, "stop": lines[j][1], "family": self.families[best],
+                                                              "probability": float(p[best]), "similarity": likeness}))
+        taken: set[int] = set()
+        found = []
+        for _, more, i, notice in sorted(windows, key=lambda w: w[:3]):
+            if taken.isdisjoint(range(i, i + more + 1)):
+                taken.update(range(i, i + more + 1))
+                found.append(notice)
+        return sorted(found, key=lambda n: n["start"])
 
 
 def _pairs(words: list[str]) -> set[tuple[str, ...]]:
@@ -121,6 +157,8 @@ def _pairs(words: list[str]) -> set[tuple[str, ...]]:
 
 
 _template_pairs = {f: [_pairs(tokens(t)) for t in ts] for f, ts in TEMPLATES.items()}
+_template_words = frozenset(p for ts in _template_pairs.values() for t in ts for p in t)
+WINDOW_WORDS = 2 * max(len(tokens(t)) for ts in TEMPLATES.values() for t in ts)  # joined lines hold at most so many; one line, any
 
 
 def similarity(words: list[str], family: str) -> float:

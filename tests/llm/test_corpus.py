@@ -309,6 +309,53 @@ def test_licences(spark, docs, none, sf_dir):
     assert licenses.scan(clean, model).where("size(licences) > 0").count() == 0
 
 
+WRAPPED = {
+    "mit": """ * MIT License
+ *
+ * Copyright (c) 2024 The Authors
+ *
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "gpl-3.0": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "gpl-2.0": """// This program is free software; you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation; either version 2 of the License, or
+// (at your option) any later version.""",
+    "lgpl-2.1": """   This library is free software; you can redistribute it and/or
+   modify it under the terms of the GNU Lesser General Public
+   License as published by the Free Software Foundation; either
+   version 2.1 of the License, or (at your option) any later version.""",
+    "agpl-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version.""",
+    "apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at""",
+    "bsd-3-clause": """Redistribution and use in source and binary
+forms, with or without modification, are permitted
+provided that the following conditions are met:""",
+}
+
+
+def test_wrapped_licences(spark, sf_dir):
+    model = licenses.train(licenses.negatives(table(spark, sf_dir, "documents")))
+    for family, notice in WRAPPED.items():
+        for before, after in (("", ""), ("A first line.\n\n", "\n\nOther words follow.\n"), ("The code below\nis ours.\n", "\nint main() {\n")):
+            count, found = model.find(before + notice + after)
+            assert [f["family"] for f in found] == [family], (family, found)
+            said = (before + notice + after)[found[0]["start"] : found[0]["stop"]]
+            assert said.strip(" */#") in notice and "\n" in said and found[0]["paragraph"] < count
+    two = "Released under the MIT License.\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License."
+    assert [(f["family"], f["start"]) for f in model.find(two)[1]] == [("mit", 0), ("cc-by-nc-4.0", 32), ("mit", 61)]
+    assert model.find("One line\nand one more.\n \n# \nThe next.\n")[0] == 2
+
+
 def test_pipeline(spark, sf_dir, docs):
     frame = table(spark, sf_dir, "documents").limit(150).withColumn("text", F.when(F.col("doc_id") % 50 == 0, None).otherwise(F.col("text")))
     columns = frame.columns
