@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from hourline.config import (
     CV_FOLDS, CV_GAP, CV_TEST, MIN_TRAINING_ROWS, MODEL_FEATURES, TEST_DAYS, TUNING_SECONDS, TUNING_TRIALS, VAL_DAYS,
 )
+from hourline.functions.calendar import add_calendar
+from hourline.functions.exact import exact_mean
 from hourline.functions.scalar import as_time, hours_before
 from hourline.operators.metrics import cv_mae, naive_metrics, regression_metrics
 from hourline.operators.windows import add_target
@@ -85,16 +87,45 @@ def direct_forecast(model: PipelineModel, features: DataFrame, run_at, horizon:
     """Predictions for the next `horizon` hours from the feature rows of the last `horizon` hours.
 
     The model predicts the value `horizon` hours after its features, so every input is measured, none
-    is assumed. `forecast.shape_forecasts` files the rows with `target_hours_ahead=horizon`.
+    is assumed; where one is missing, or the whole row of an hour, it is filled by `filled_inputs` and flagged, so
+    that every series with a row in these hours has one forecast an hour. `forecast.shape_forecasts` files the rows
+    with `target_hours_ahead=horizon`.
     """
     now = as_time(run_at)
+    history = features.filter(F.col("timestamp") <= now)
     recent = features.filter((F.col("timestamp") > hours_before(now, horizon)) & (F.col("timestamp") <= now))
     columns = model.stages[0].getInputCols()
-    kinds = dict(features.dtypes)
-    numeric = [
+    last = F.date_trunc("hour", now)
+    hours = F.sequence(F.timestamp_add("HOUR", F.lit(1 - horizon), last), last, F.expr("INTERVAL 1 HOUR"))
+    grid = recent.select("series_id").distinct().select("series_id", F.explode(hours).alias("timestamp"))
+    absent = add_calendar(grid.join(recent.select("series_id", "timestamp"), ["series_id", "timestamp"], "left_anti"))
+    absent = absent.select("series_id", "timestamp", *[c for c in columns if c in absent.columns])
+    rows = as_numbers(recent, columns).unionByName(as_numbers(absent, [c for c in columns if c in absent.columns]), allowMissingColumns=True)
+    return model.transform(filled_inputs(rows, history, columns))
+
+
+def as_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The keys and the columns as doubles."""
+    kinds = dict(df.dtypes)
+    return df.select("series_id", "timestamp", *[
         (F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c)).cast("double").alias(c) for c in columns
-    ]
-    return model.transform(recent.select("series_id", "timestamp", *numeric).na.drop(subset=columns))
+    ])
+
+
+def filled_inputs(rows: DataFrame, history: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The keys and the columns as doubles, none NULL: a missing value is its series' mean in `history`, else the mean
+    of all series, else 0. `inputs_imputed` marks the rows with such a value. No row is dropped."""
+    known = as_numbers(history, columns)
+    means = known.groupBy("series_id").agg(*[exact_mean(c).alias(f"__own_{c}") for c in columns])
+    overall = known.agg(*[exact_mean(c).alias(f"__all_{c}") for c in columns])
+    joined = as_numbers(rows, columns).join(means, "series_id", "left").crossJoin(overall)
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    return joined.select(
+        "series_id", "timestamp", *[F.coalesce(c, f"__own_{c}", f"__all_{c}", F.lit(0.0)).alias(c) for c in columns],
+        missing.alias("inputs_imputed"),
+    )
 
 
 def _checkpointing(spark: SparkSession) -> None:

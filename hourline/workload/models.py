@@ -201,7 +201,7 @@ def gbt_future(spark, sf):
     features = written(matrix(spark, sf), "features")
     trained = ml.train_gbt(features, 24, SMALL, INPUTS, min_rows=200, patience=3)
     ahead = forecast.future_features(features, "2024-01-30 12:00:00", 24)
-    ready = ahead.select("series_id", "timestamp", *[F.col(c).cast("double").alias(c) for c in INPUTS]).na.drop()
+    ready = ml.filled_inputs(ahead, features.filter(F.col("timestamp") <= "2024-01-30 12:00:00"), INPUTS)
     return forecast.shape_forecasts(trained.model.transform(ready), "gbt_24h", "run-1", 24, "2024-01-30 12:00:00", "run-1", target_hours_ahead=24)
 
 

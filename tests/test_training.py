@@ -64,6 +64,18 @@ def test_run_record_and_saved_model(spark, trained, features, tmp_path):
     assert all((r.timestamp - r.feature_timestamp).total_seconds() == 24 * 3600 for r in rows)
 
 
+def test_every_hour_is_forecast(trained, features):
+    """Rows with a missing input and hours without a row have a forecast too."""
+    holed = features.withColumn("temperature", F.when(F.col("timestamp") == F.lit(hour(890)), None).otherwise(F.col("temperature")))
+    holed = holed.filter(F.col("timestamp") != F.lit(hour(895)))
+    out = ml.direct_forecast(trained.model, holed, hour(899), 24).collect()
+    series = features.select("series_id").distinct().count()
+    assert len(out) == 24 * series == len({(r.series_id, r.timestamp) for r in out})
+    assert {r.timestamp for r in out if r.inputs_imputed} == {hour(890), hour(895)}
+    hours = {r.timestamp: r.hour_of_day for r in ml.direct_forecast(trained.model, features, hour(899), 24).collect()}
+    assert all(r.prediction is not None and r.hour_of_day == hours[r.timestamp] for r in out)
+
+
 def test_too_few_rows(features):
     with pytest.raises(ValueError, match="insufficient training data"):
         ml.train_gbt(features, 24, SMALL, INPUTS, min_rows=10_000)
