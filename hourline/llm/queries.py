@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from hourline.llm import chat, exact_dedup, fingerprints, licenses, minhash, mixing, packing, sharding, toxicity, warc  # noqa: F401
+from hourline.llm import (  # noqa: F401
+    cells, chat, exact_dedup, fingerprints, licenses, minhash, mixing, packing, periodic, search, sharding, toxicity, warc,
+)
 from hourline.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
