@@ -292,13 +292,13 @@ SQL = """
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+')) AS term FROM documents),
   counts AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL),
   lens AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY ALL),
-  whole AS (SELECT count(*) AS N, sum(n)::BIGINT AS L FROM lens),
-  weights AS (SELECT term, floor(1000 * ln((2 * any_value(N) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  whole AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM lens),
+  weights AS (SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
     FROM counts, whole GROUP BY term),
   asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+')) AS term FROM benchmark),
   scored AS (
-    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * N) // L))))::BIGINT AS score
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
     FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lens USING (doc_id), whole GROUP BY ALL),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
   SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
