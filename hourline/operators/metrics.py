@@ -83,15 +83,17 @@ def mae_with_minimum(error: Column, minimum: int = MIN_ACTUALS) -> Column:
 def r2(
     df: DataFrame, actual: str = "actual", predicted: str = "predicted", by: Sequence[str] = ()
 ) -> DataFrame:
-    """1 - residual / total sum of squares; 0 when the actuals do not vary. One pass."""
+    """1 - residual / total sum of squares; 0 when the actuals do not vary. One pass.
+
+    The spread is Spark's mergeable central moment (count, mean, sum of squared deviations): nothing cancels, whatever
+    the level of the actuals. The residual is a sum of squares of doubles.
+    """
     paired = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-    y, n = dec(actual), F.count(F.lit(1))
-    residual = F.sum(square(F.col(actual) - F.col(predicted), ERROR)).cast("double")
-    total, squares = F.sum(y).cast("double"), F.sum(y * y).cast("double")
-    spread = squares - total * total / F.nullif(n, F.lit(0))
+    error, n = F.col(actual) - F.col(predicted), F.count(F.lit(1))
+    spread = F.var_pop(actual) * n
     flat = F.min(actual) == F.max(actual)
     return paired.groupBy(*by).agg(
-        F.when(flat | (spread <= 0), F.lit(0.0)).otherwise(F.lit(1.0) - residual / F.nullif(spread, F.lit(0.0))).alias("r2"),
+        F.when(flat | (spread <= 0), F.lit(0.0)).otherwise(F.lit(1.0) - F.sum(error * error) / F.nullif(spread, F.lit(0.0))).alias("r2"),
         n.alias("n"),
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hourline.config import (
     CENTERED_ROWS, FILL_LIMIT, LAG_HOURS, ROLLING, WEATHER_COLUMNS, Rolling,
 )
-from hourline.functions.exact import VALUE, dec, mean_of, std_of
+from hourline.functions.exact import dec, exponent_of, finite, mean_of, whole, whole_mean, whole_std, wide
 from hourline.operators.slices import ROWS_PER_SLICE, SERIES, TS, over_hours, over_rows
 
 
@@ -82,16 +82,19 @@ def rolling_columns(
 ) -> DataFrame:
     """Trailing statistics as differences of running sums: constant work per row for any length.
 
-    The running sums are decimals, so the difference is the exact sum of the frame.
+    The running sums are whole numbers of a power of ten that the slice's largest value decides, so the
+    difference is the exact sum of the frame, and the deviation has no cancellation. Values that are not finite
+    count as unknown.
     """
-    # Turning doubles into decimals is the dear part: once per row, not once per aggregate.
-    exact = df.withColumn("__d", dec(column))
+    largest = F.max(F.abs(finite(F.col(column)))).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    scaled = df.withColumn("__e", exponent_of(largest)).withColumn("__d", whole(F.col(column), F.col("__e")))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {"__n": F.count("__d").over(running), "__s": F.sum("__d").over(running)}
     if any(s.stat == "std" for s in specs):
-        exact = exact.withColumn("__dd", F.col("__d") * F.col("__d"))
+        # Turning numbers into decimals is the dear part: once per row, not once per aggregate.
+        scaled = scaled.withColumn("__w", wide(F.col("__d"))).withColumn("__dd", F.col("__w") * F.col("__w"))
         totals["__ss"] = F.sum("__dd").over(running)
-    out = exact.withColumns(totals)
+    out = scaled.withColumns(totals)
 
     lengths = sorted({s.rows for s in specs})
     before = {f"{t}_{rows}": F.lag(t, rows).over(w) for rows in lengths for t in totals}
@@ -105,13 +108,13 @@ def rolling_columns(
     for s in specs:
         n, total = inside("__n", s.rows), inside("__s", s.rows)
         if s.stat == "mean":
-            value = mean_of(total, n)
+            value = whole_mean(total, n, F.col("__e"))
         elif s.stat == "std":
-            value = std_of(total, inside("__ss", s.rows), n)
+            value = whole_std(total, inside("__ss", s.rows), n, F.col("__e"))
         else:
             raise ValueError(f"unknown statistic {s.stat!r}")
         stats[s.name] = F.when(n >= s.min_rows, value)
-    return out.withColumns(stats).drop("__d", "__dd", *totals, *before)
+    return out.withColumns(stats).drop("__e", "__d", "__w", "__dd", *totals, *before)
 
 
 def add_rolling(
@@ -315,11 +318,26 @@ def tail_stats(
         .filter(F.col("__rank") <= long)
     )
     known = F.col(column).isNotNull()
-    value = dec(column, VALUE)
-    near = F.when(F.col("__rank") <= short, value)
-    return recent.groupBy(*keys).agg(
-        mean_of(F.sum(value), F.count(value)).alias("tail_mean"),
-        F.coalesce(std_of(F.sum(value), F.sum(value * value), F.count(value)), F.lit(0.0)).alias("tail_std"),
-        mean_of(F.sum(near), F.count(near)).alias("tail_short_mean"),
+    return with_whole(recent, column, keys).groupBy(*keys).agg(
+        *newest_moments(F.lit(True), "tail_mean", "tail_std"),
+        newest_moments(F.col("__rank") <= short, "tail_short_mean")[0],
         F.max_by(F.when(known, F.col(column)), F.when(known, F.col(TS))).alias("last_value"),
     )
+
+
+def with_whole(recent: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
+    """Adds `__e` and `__d`, the value as a whole number scaled by the largest value of its key. For a bounded number of rows
+    per key: the window needs no exchange beyond the one that ranked them."""
+    largest = F.max(F.abs(finite(F.col(column)))).over(Window.partitionBy(*keys))
+    return recent.withColumn("__e", exponent_of(largest)).withColumn("__d", whole(F.col(column), F.col("__e")))
+
+
+def newest_moments(where: Column, mean: str, std: str | None = None) -> list[Column]:
+    """Aggregates over the rows of `with_whole` that `where` admits: mean and, if named, deviation (0 for one row)."""
+    value = F.when(where, F.col("__d"))
+    n, total, exponent = F.count(value), F.sum(value), F.max("__e")
+    out = [whole_mean(total, n, exponent).alias(mean)]
+    if std:
+        squares = F.sum(wide(value) * wide(value))
+        out.append(F.coalesce(whole_std(total, squares, n, exponent), F.lit(0.0)).alias(std))
+    return out

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from hourline.config import LAG_HOURS, TIMEZONE, WEATHER_COLUMNS
 from hourline.functions import scalar
 from hourline.functions.calendar import add_calendar
-from hourline.functions.exact import dec, mean_of, std_of
 from hourline.operators.joins import lookup_at
 from hourline.operators.slices import SERIES, TS
-from hourline.operators.windows import latest_per
+from hourline.operators.windows import latest_per, newest_moments, with_whole
 
 MIN_HISTORY = 168
 
@@ -56,19 +55,14 @@ def future_features(
         .withColumn("__rank", F.row_number().over(newest))
         .filter(F.col("__rank") <= history_rows(horizon, lag_hours))
     )
-    value, known = dec("value"), F.col("value").isNotNull()
-    week, day = F.col("__rank") <= 168, F.col("__rank") <= 24
-    in_week, in_day = F.when(week, value), F.when(day, value)
+    known = F.col("value").isNotNull()
     bundle = F.struct("value", *weather)
-    per_series = recent.groupBy(*keys).agg(
+    per_series = with_whole(recent, "value", keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.map_from_entries(F.collect_list(F.struct(F.col(TS), bundle))).alias("__at"),
         F.max_by(F.struct(*weather), F.col(TS)).alias("__last_weather"),
-        mean_of(F.sum(in_week), F.count(in_week)).alias("rolling_7d_mean"),
-        F.coalesce(
-            std_of(F.sum(in_week), F.sum(in_week * in_week), F.count(in_week)), F.lit(0.0)
-        ).alias("rolling_7d_std"),
-        mean_of(F.sum(in_day), F.count(in_day)).alias("rolling_24h_mean"),
+        *newest_moments(F.col("__rank") <= 168, "rolling_7d_mean", "rolling_7d_std"),
+        newest_moments(F.col("__rank") <= 24, "rolling_24h_mean")[0],
     )
     last = history.groupBy(*keys).agg(F.max_by(F.when(known, F.col("value")), F.when(known, F.col(TS))).alias("__last"))
     per_series = per_series.join(last, keys)

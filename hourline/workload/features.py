@@ -34,15 +34,20 @@ def lags(spark, sf):
     return windows.add_lags(load(spark, sf))
 
 
+# Sums of the given tables have four decimals; as whole numbers nothing is lost in them, nor in their squares.
+WHOLE = "CAST(round(value * 10000) AS HUGEINT)"
+
+
+def std_sql(n: str, s: str, ss: str) -> str:
+    """Sample deviation from a count and the sums of whole numbers of 1e-4 and of their squares."""
+    return f"sqrt(CAST((CAST({n} * {ss} - {s} * {s} AS VARCHAR) || 'e-8') AS DOUBLE) / nullif({n} * ({n} - 1), 0))"
+
+
 def _rolling_sql(rows: int, minimum: int, stat: str) -> str:
     over = f"OVER ({W} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
     d = "CAST(value AS DECIMAL(18,4))"
     n, s = f"count(value) {over}", f"CAST(sum({d}) {over} AS DOUBLE)"
-    if stat == "mean":
-        value = f"{s} / {n}"
-    else:
-        ss = f"CAST(sum({d} * {d}) {over} AS DOUBLE)"
-        value = f"sqrt(greatest(({ss} - {s} * {s} / nullif({n}, 0)) / nullif({n} - 1, 0), 0.0))"
+    value = f"{s} / {n}" if stat == "mean" else std_sql(n, f"sum({WHOLE}) {over}", f"sum({WHOLE} * {WHOLE}) {over}")
     return f"CASE WHEN {n} >= {minimum} THEN {value} END"
 
 
@@ -315,9 +320,9 @@ def known_hours(spark, sf):
 
 @query(
     "w13_tail_stats",
-    sql(LOAD, """SELECT series_id,
+    sql(LOAD, f"""SELECT series_id,
       CAST(sum(v) AS DOUBLE) / count(v) AS tail_mean,
-      coalesce(sqrt(greatest((CAST(sum(v * v) AS DOUBLE) - CAST(sum(v) AS DOUBLE) * CAST(sum(v) AS DOUBLE) / count(v)) / nullif(count(v) - 1, 0), 0.0)), 0.0) AS tail_std,
+      coalesce({std_sql("count(v)", f"sum({WHOLE})", f"sum({WHOLE} * {WHOLE})")}, 0.0) AS tail_std,
       CAST(sum(v) FILTER (rn <= 24) AS DOUBLE) / nullif(count(v) FILTER (rn <= 24), 0) AS tail_short_mean,
       arg_max(value, "timestamp") FILTER (value IS NOT NULL) AS last_value
       FROM (SELECT *, CAST(value AS DECIMAL(18,4)) AS v,
