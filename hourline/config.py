@@ -27,7 +27,7 @@ PROMOTION_GAIN = 0.01
 CV_FOLDS, CV_GAP, CV_TEST = 3, 168, 120
 VAL_DAYS, TEST_DAYS = 5, 5
 TARGET_MAPE = 5.0
-TUNING_TRIALS, TUNING_SECONDS = 25, 600
+TUNING_TRIALS = 25
 MAX_RANGE_DAYS = 7
 REBUILD_CHUNK_DAYS = 30
 

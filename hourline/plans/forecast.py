@@ -111,7 +111,7 @@ def shape_forecasts(
     """Forecast rows from predictions: clipped at zero, with the deterministic id.
 
     For a model trained on the value `target_hours_ahead` later, the forecast is filed under that hour
-    and the hour of its features is kept beside it.
+    and the hour of its features is kept beside it. A flag of filled inputs is kept too.
     """
     target = F.timestamp_add("HOUR", F.lit(target_hours_ahead), F.col(TS))
     name, run_at = F.lit(model_name), scalar.as_time(run_at)
@@ -129,6 +129,7 @@ def shape_forecasts(
         F.lit(False).alias("is_backfilled"),
         F.lit(run_id).alias("run_id"),
         run_at.alias("created_at"),
+        *[c for c in ("inputs_imputed",) if c in predictions.columns],
     ).withColumnRenamed("forecast_key", "forecast_id")
 
 

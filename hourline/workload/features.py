@@ -16,7 +16,7 @@ W = 'PARTITION BY series_id ORDER BY "timestamp"'
 EPOCH = 'PARTITION BY series_id ORDER BY epoch("timestamp")'
 
 
-def _at(column: str, hours: int, cast: str = "BIGINT") -> str:
+def at_sql(column: str, hours: int, cast: str = "BIGINT") -> str:
     """Value exactly `hours` away, as a RANGE frame over seconds."""
     where = f"{abs(hours) * 3600} {'PRECEDING' if hours < 0 else 'FOLLOWING'}"
     return (
@@ -25,7 +25,13 @@ def _at(column: str, hours: int, cast: str = "BIGINT") -> str:
     )
 
 
-LAGS = ",\n".join(f"{_at('value', -h)} AS lag_{h}h" for h in (24, 48, 168))
+LAGS = ",\n".join(f"{at_sql('value', -h)} AS lag_{h}h" for h in (24, 48, 168))
+
+
+def known_sql(columns) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in columns)
+
+
 GAP = "(lag_24h IS NULL OR lag_48h IS NULL OR lag_168h IS NULL) AS has_lag_gap"
 
 
@@ -73,7 +79,7 @@ def rolling_short_slices(spark, sf):
 
 @query(
     "w05_target_time_and_row",
-    sql(LOAD, f"""SELECT series_id, "timestamp", {_at('value', 24)} AS target_time,
+    sql(LOAD, f"""SELECT series_id, "timestamp", {at_sql('value', 24)} AS target_time,
       lead(value, 24) OVER ({W}) AS target_row FROM load"""),
 )
 def targets(spark, sf):
