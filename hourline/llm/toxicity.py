@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from hourline.llm.common import query, stored, table
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W_]+")
 # Scripts written without spaces between words: Thai to Burmese, Khmer, kana, Han.
 UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
 LONG_RUN = 24  # letters above which a run is also read by its beginnings anywhere in it, of RUN_PIECE letters
@@ -29,9 +29,11 @@ DIMENSIONS = 1 << 19  # all words are hashed to these; telling terms have dimens
 MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic above which a term weighs more
 TELLING = 8.0  # weight of a telling term per unit of log odds, where a word weighs its inverse document frequency
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
-DENSE = 512  # dimensions in most examples, held as a matrix
+# Dimensions that more than a ninth of the examples have are held as a matrix, at most so many: multiplying a column for
+# every text costs as much as adding its postings for the texts that have it.
+DENSE, DENSE_SHARE = 512, 9
 TOGETHER = 64  # texts compared with all examples at a time
-WORDS_KEPT = 200_000  # words whose dimensions a worker remembers
+WORDS_KEPT = 300_000  # words whose dimensions a worker remembers
 
 
 def pieces(word: str) -> list[str]:
@@ -75,7 +77,7 @@ class CosineIndex:
     def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> CosineIndex:
         held = np.bincount(dimension, minlength=dimensions)
         common = np.argsort(-held, kind="stable")[:DENSE]
-        common = common[held[common] * 100 > size]
+        common = common[held[common] * DENSE_SHARE > size]
         column = np.full(dimensions, -1, np.int32)
         column[common] = np.arange(len(common))
         dense = np.zeros((len(common), size), np.float32)
@@ -115,33 +117,46 @@ class CosineIndex:
                 yield found[best], cosines[best]
 
 
-BlockMaxIndex = CosineIndex  # the name it is tested by
+def _packed(batches):
+    """Rows (order, payload): each batch of examples, its sorted dimensions as steps, compressed."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        terms = batch.column(3)
+        steps = np.diff(terms.flatten().to_numpy(), prepend=np.int32(0)).astype(np.int32)
+        own = pa.RecordBatch.from_arrays(
+            [batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(terms.offsets.to_numpy() - terms.offsets[0].as_py()), pa.array(steps)), batch.column(4)],
+            ["id", "toxic", "steps", "counts"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(own)
+        yield pa.RecordBatch.from_arrays([batch.column(0)[:1], pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["order", "payload"])
 
 
 class Learned:
     """The labelled examples as workers need them: `index`, `weights` of the dimensions, `toxic` (1 or 0) and `ids`. It is
-    shipped as packed counts, a few bytes a word, and unpacked once per worker, so that the driver never builds an index."""
+    shipped as the packed batches that tasks made, a few bytes a word, and unpacked once per worker: the driver hands
+    them on and never unpacks one."""
 
-    def __init__(self, tally: pa.RecordBatch, held: np.ndarray, total: int, telling: list[float]):
-        at, terms = tally.column(2).offsets.to_numpy(), tally.column(2).flatten().to_numpy()
-        steps = np.diff(terms, prepend=np.int32(0))
-        pack = lambda x: (x.dtype.str, zlib.compress(np.ascontiguousarray(x), 1))
-        self.packed = (
-            [pack(x) for x in (at - at[0], steps, tally.column(3).flatten().to_numpy(), held, tally.column(1).to_numpy())],
-            tally.column(0).to_pylist(), total, telling)
+    def __init__(self, batches: list[bytes], held: np.ndarray, total: int, telling: list[float]):
+        self.packed = batches, (held.dtype.str, zlib.compress(np.ascontiguousarray(held), 1)), total, telling
 
     def __getstate__(self):
         return self.packed
 
     def __setstate__(self, packed):
-        arrays, ids, total, telling = packed
-        at, steps, counts, held, toxic = (np.frombuffer(zlib.decompress(x), kind) for kind, x in arrays)
+        payloads, (kind, held), total, telling = packed
+        held = np.frombuffer(zlib.decompress(held), kind)
+        batches = [b for p in payloads for b in pa.ipc.open_stream(p)]
         self.weights = np.log((1 + total) / (1 + held)) + 1
         self.weights[DIMENSIONS:] = TELLING * np.array(telling)
-        self.toxic, self.ids = toxic.astype(np.float64), np.array(ids)
-        terms = np.cumsum(steps, dtype=np.int32)
-        example = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(at))
-        self.index = CosineIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(ids)).astype(np.float32), len(ids), len(held))
+        self.toxic = np.concatenate([b.column(1).to_numpy() for b in batches]).astype(np.float64)
+        self.ids = np.array([i for b in batches for i in b.column(0).to_pylist()])
+        terms = np.concatenate([np.cumsum(b.column(2).flatten().to_numpy(), dtype=np.int32) for b in batches])
+        counts = np.concatenate([b.column(3).flatten().to_numpy() for b in batches])
+        sizes = np.concatenate([np.diff(b.column(2).offsets.to_numpy()) for b in batches])
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes)
+        self.index = CosineIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(self.ids)).astype(np.float32), len(self.ids), len(held))
 
 
 @dataclass
@@ -157,25 +172,32 @@ class Model:
     shift: float = 0.0
     _words: dict = field(default_factory=dict, repr=False)
 
-    def places(self, word: str) -> tuple[int, ...]:
-        """Dimensions of the word: a hashed one for each piece, and those of the telling terms it holds."""
+    def places(self, word: str) -> int | tuple[int, ...]:
+        """Dimensions of the word: a hashed one for each piece, and those of the telling terms it holds. A single one is a number."""
         if (known := self._words.get(word)) is None:
             parts = pieces(word)
             known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
                      *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
+            known = known[0] if len(known) == 1 else known
             if len(self._words) > WORDS_KEPT:
                 self._words.clear()
             self._words[word] = known
         return known
 
     def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the dimensions of all words of the text."""
+        """Counts of the dimensions of all words of the text, in no order."""
         found: dict[int, int] = {}
-        known = self._words.get
+        known, had = self._words.get, found.get
         for word, n in Counter(words_of(text)).items():
-            for at in known(word) or self.places(word):
-                found[at] = found.get(at, 0) + n
-        return dict(sorted(found.items()))
+            at = known(word)
+            if at is None:
+                at = self.places(word)
+            if at.__class__ is int:
+                found[at] = had(at, 0) + n
+            else:
+                for one in at:
+                    found[one] = had(one, 0) + n
+        return found
 
     def telling(self, text: str | None) -> set[str]:
         """The telling terms of the text."""
@@ -263,7 +285,9 @@ def tally(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> D
                 terms.extend(found)
                 counts.extend(found.values())
                 at.append(len(terms))
-            lists = [pa.ListArray.from_arrays(pa.array(np.array(at, np.int32)), pa.array(np.array(x, np.int32))) for x in (terms, counts)]
+            places, numbers = np.array(at, np.int32), np.array(terms, np.int64)
+            order = np.argsort(np.repeat(np.arange(len(places) - 1), np.diff(places)) << 32 | numbers)
+            lists = [pa.ListArray.from_arrays(pa.array(places), pa.array(np.array(x, np.int32)[order])) for x in (terms, counts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *lists], [*keep, "__terms", "__counts"])
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields[1:], *TALLY]))
@@ -344,9 +368,10 @@ def fit_and_tally(
     held, total = _frequencies(tallied, DIMENSIONS + len(odds)), tallied.count()
     examples, _ = stored(tally(rows, model, ["__id", "__toxic"], "__text"), "examples")
     # All examples, in an order that does not know the label.
-    learned = examples.orderBy(F.xxhash64(F.lit("order"), "__id"), "__id").toArrow().combine_chunks().to_batches()[0]
-    model.text_ids = not pa.types.is_integer(learned.column(0).type)
-    model.held = spark.sparkContext.broadcast(Learned(learned, held, total, list(odds.values())))
+    ordered = examples.select(F.xxhash64(F.lit("order"), "__id").alias("__order"), "*").orderBy("__order", "__id")
+    model.text_ids = not isinstance(examples.schema["__id"].dataType, T.IntegralType)
+    payloads = [bytes(r["payload"]) for r in ordered.mapInArrow(_packed, "order long, payload binary").orderBy("order").toLocalIterator()]
+    model.held = spark.sparkContext.broadcast(Learned(payloads, held, total, list(odds.values())))
 
     def votes(batches):
         own = model.held.value

@@ -244,7 +244,7 @@ def test_nearest_examples_are_exact():
         ids = draw.choice(40, draw.integers(1, 6), replace=False)
         w = draw.random(len(ids)) + 0.1
         rows.append(dict(zip(ids.tolist(), (w / np.linalg.norm(w)).tolist(), strict=True)))
-    index = toxicity.BlockMaxIndex.build(rows, 40)
+    index = toxicity.CosineIndex.build(rows, 40)
     for query in rows[:60]:
         cosines = np.array([sum(w * r.get(t, 0) for t, w in query.items()) for r in rows])
         found, values = index.nearest(query, 10)
