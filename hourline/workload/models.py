@@ -254,7 +254,7 @@ def seasonal_sums(spark, sf):
 @query("m08_tuned_params")
 def tuned(spark, sf):
     """All inputs, the whole search space and all folds; fewer trials and rounds than the library's 25 and 100 (see README)."""
-    best = ml.tune(ml.model_frame(matrix(spark, sf), 24), 24, trials=4, gap=12, test=24, rounds=18)
+    best = ml.tune(ml.model_frame(matrix(spark, sf), 24), 24, trials=3, gap=12, test=24, rounds=9)
     return spark.createDataFrame([(k, str(v)) for k, v in best.items()], "parameter string, value string")
 
 
