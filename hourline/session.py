@@ -49,6 +49,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, read by every later pass, and still
     there after an executor is lost."""

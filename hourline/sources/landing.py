@@ -51,6 +51,32 @@ def expected_hours(spark: SparkSession, run_date, lookback: int) -> DataFrame:
     return hours.withColumn("file_name", file_hour("timestamp"))
 
 
+def expected_hours_of(series: DataFrame, run_date, lookback: int) -> DataFrame:
+    """`expected_hours` of every row of `series`, a row per series."""
+    newest = F.date_trunc("hour", as_time(run_date))
+    back = F.explode(F.sequence(F.lit(0), F.lit(lookback - 1))).alias("__back")
+    hours = series.select("*", back).withColumn("timestamp", F.timestamp_add("HOUR", -F.col("__back"), newest)).drop("__back")
+    return hours.withColumn("file_name", file_hour("timestamp"))
+
+
+def write_hourly(rows: DataFrame, directory: str) -> None:
+    """One JSON file for each hour, named by the column `file_name`. Tasks write the files, one for each name; the driver only
+    moves each to its name, so a call is for as many hours as a run lands."""
+    spark = rows.sparkSession
+    rows.withColumn("file", F.col("file_name")).repartition("file").write.mode("overwrite").partitionBy("file").json(f"{directory}/.new")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    place = path(f"{directory}/.new")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{directory}/.new/file=*/part-*")):
+        fs.rename(status.getPath(), path(f"{directory}/{status.getPath().getParent().getName().removeprefix('file=')}"))
+    fs.delete(place, True)
+
+
+def read_hourly(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The rows of the named hourly files."""
+    return spark.read.schema("series_id string, timestamp timestamp, value double, file_name string").json(list(paths))
+
+
 def expected_files(spark: SparkSession, run_date, lookback: int, directory: str) -> DataFrame:
     """The expected hours with the path of their file, each `found` or not."""
     present = present_files(spark, directory)

@@ -14,8 +14,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from hourline.functions.exact import exact_sum
 from hourline.operators.quality import dedup_latest
 from hourline.operators.slices import SERIES, TS
-from hourline.session import scratch_path
+from hourline.session import remove, scratch_path
 from hourline.sources.upsert import merge_into
+from hourline.sources.versions import expire, merge_version
 
 HOUR_MS = 3_600_000
 
@@ -116,11 +117,37 @@ def upsert_sink(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Upserts every micro-batch. Its staging folder is named by the batch: a batch that is run again
-    after a failure publishes the merged rows it had staged, or merges them if it had not got so far."""
+    after a failure publishes the merged rows it had staged, or merges them if it had not got so far. The
+    folder of the batch before is no longer needed then, and removed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = dedup_latest(batch, [*partition_by, *keys], order) if order else batch
         merge_into(path, rows, keys, partition_by, update, when, staged=f"{checkpoint}/staged/{batch_id}")
+        remove(batch.sparkSession, f"{checkpoint}/staged/{batch_id - 1}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/offsets")
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def versioned_sink(
+    stream: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    checkpoint: str,
+    update: str | Sequence[str] | None = "all",
+    when: Column | str | None = None,
+    order: str | None = None,
+    available_now: bool = True,
+    keep: int = 10,
+) -> StreamingQuery:
+    """Upserts every micro-batch as a version of a versioned table: readers see whole batches alone, and a batch that is run
+    again after its commit writes nothing. Versions before the newest `keep` go, with rows of failed batches."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = dedup_latest(batch, [*partition_by, *keys], order) if order else batch
+        merge_version(path, rows, keys, partition_by, update, when, writer=(checkpoint, batch_id))
+        expire(batch.sparkSession, path, keep)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/offsets")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

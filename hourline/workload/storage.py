@@ -12,6 +12,7 @@ from hourline.config import FeatureOptions
 from hourline.functions.scalar import as_time, file_hour
 from hourline.session import scratch_path
 from hourline.sources import flags, landing, payloads, tables, upsert
+from hourline.sources import versions as stored
 from hourline.workload.base import (
     CHECKS, LOAD, NOW, NOW_SQL, WEATHER, checks, forecasts, FORECASTS, load, MODEL_RUNS, query, sql, stored_runs, weather,
 )
@@ -97,6 +98,72 @@ def merged_table(spark, sf):
     return tables.read_table(spark, path, old.schema)
 
 
+def versioned(spark, sf, name):
+    """A versioned table that holds the older rows as version 1, its path, and the newer batch."""
+    old, new = (tables.with_day(d) for d in versions(spark, sf))
+    path = scratch_path(spark, name)
+    stored.merge_version(path, old, KEY, ["day"])
+    return path, old.schema, new
+
+
+@query(
+    "s09_versioned_merge",
+    sql(VERSIONS, f"""SELECT * EXCLUDE (_change), CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day FROM ({merged_sql("nv IS NOT NULL")})"""),
+)
+def versioned_merge(spark, sf):
+    """The upsert as a new version of a table; the batch that is merged again by its number changes nothing."""
+    path, schema, new = versioned(spark, sf, "versioned-load")
+    for _ in range(2):
+        stored.merge_version(path, new, KEY, ["day"], when="value IS NOT NULL", writer=("batch", 1))
+    return stored.read_version(spark, path, schema, ["day"])
+
+
+@query(
+    "s18_version_changes",
+    sql(VERSIONS, """SELECT series_id, "timestamp", CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day, unnest(CASE
+        WHEN ins THEN [{'value': nv, 'source': ns, 'is_gap': ng, 'change': 'insert'}]
+        ELSE [{'value': ov, 'source': os, 'is_gap': og, 'change': 'update_pre'}, {'value': nv, 'source': ns, 'is_gap': ng, 'change': 'update_post'}]
+      END, recursive := true) FROM pair WHERE ins OR (has_new AND nv IS NOT NULL)"""),
+)
+def version_feed(spark, sf):
+    """What the second version changed, read from the partitions it wrote."""
+    path, schema, new = versioned(spark, sf, "feed")
+    stored.merge_version(path, new, KEY, ["day"], when="value IS NOT NULL")
+    return stored.version_changes(spark, path, schema, KEY, ["day"], 1)
+
+
+@query(
+    "s12_forecast_refresh",
+    sql(VERSIONS, """SELECT series_id, "timestamp", CASE WHEN take THEN nv ELSE ov END AS value,
+      CASE WHEN take THEN 'new' ELSE 'old' END AS source, CASE WHEN NOT take AND "timestamp" < TIMESTAMP '2024-01-15' THEN ov END AS actual,
+      CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day
+      FROM (SELECT *, ins OR (has_new AND NOT coalesce("timestamp" < TIMESTAMP '2024-01-15' AND ov IS NOT NULL, FALSE)) AS take FROM pair)"""),
+)
+def forecast_refresh(spark, sf):
+    """Newer forecasts replace the older ones of the hours that have no actual yet."""
+    actual = F.when((F.col("timestamp") < "2024-01-15") & (F.col("source") == "old"), F.col("value"))
+    old, new = (tables.with_day(d.drop("is_gap").withColumn("actual", actual)) for d in versions(spark, sf))
+    path = scratch_path(spark, "refreshed")
+    stored.merge_version(path, old, KEY, ["day"])
+    stored.refresh_version(path, new, KEY, ["day"], "actual")
+    return stored.read_version(spark, path, old.schema, ["day"])
+
+
+@query(
+    "p13_dry_run_counts",
+    sql(VERSIONS, """SELECT count(*) FILTER (ins) AS rows_inserted, count(*) FILTER (NOT ins AND has_new AND nv IS NOT NULL) AS rows_updated,
+      count(*) FILTER (NOT ins AND NOT (has_new AND nv IS NOT NULL)) AS rows_kept
+      FROM pair WHERE CAST("timestamp" AS DATE) IN (SELECT CAST("timestamp" AS DATE) FROM new)"""),
+)
+def dry_run(spark, sf):
+    """What a merge would do to the partitions it touches; nothing is written."""
+    path, _, new = versioned(spark, sf, "dry-run")
+    counts = stored.merge_version(path, new, KEY, ["day"], when="value IS NOT NULL", dry_run=True)
+    if stored.current(spark, path) != 1:
+        raise AssertionError("a dry run has written a version")
+    return counts
+
+
 @query(
     "s18_changes",
     sql(VERSIONS, """SELECT series_id, "timestamp", value, source, is_gap, change FROM (
@@ -195,14 +262,42 @@ def landing_files(spark, sf):
 
 @query(
     "s02_missing_landing_files",
-    sql(LOAD, f"""SELECT h AS "timestamp", strftime(h, '%Y-%m-%dT%H-00-00Z') || '.json' AS file_name
-      FROM (SELECT unnest(generate_series({NOW_SQL} - INTERVAL 719 HOUR, {NOW_SQL}, INTERVAL 1 HOUR)) AS h)
-      WHERE h NOT IN (SELECT "timestamp" FROM load WHERE series_id = 'click')"""),
+    sql(LOAD, f"""SELECT series_id, h AS "timestamp", strftime(h, '%Y-%m-%dT%H-00-00Z') || '.json' AS file_name
+      FROM (SELECT series_id, unnest(generate_series({NOW_SQL} - INTERVAL 719 HOUR, {NOW_SQL}, INTERVAL 1 HOUR)) AS h
+            FROM (SELECT DISTINCT series_id FROM load)) e
+      ANTI JOIN load ON load.series_id = e.series_id AND load."timestamp" = h"""),
 )
 def missing_files(spark, sf):
-    """The expected files of 30 days against the hours one series has data for."""
-    landed_names = load(spark, sf).filter("series_id = 'click'").select(file_hour("timestamp").alias("file_name"))
-    return only_missing(landing.expected_hours(spark, NOW, 720), landed_names, ["file_name"])
+    """The expected files of 30 days of every series against the hours it has data for."""
+    rows = load(spark, sf)
+    expected = landing.expected_hours_of(rows.select("series_id").distinct(), NOW, 720)
+    return only_missing(expected, rows.select("series_id", file_hour("timestamp").alias("file_name")), ["series_id", "file_name"])
+
+
+@query(
+    "s02_s16_landing_ledger",
+    sql(LOAD, f"""SELECT series_id, "timestamp", strftime("timestamp", '%Y-%m-%dT%H-00-00Z') || '.json' AS file_name, value, attempt
+      FROM load, (SELECT unnest([1, 2]) AS attempt) WHERE series_id = 'click'
+        AND "timestamp" > {NOW_SQL} - attempt * INTERVAL 24 HOUR AND "timestamp" <= {NOW_SQL} - (attempt - 1) * INTERVAL 24 HOUR"""),
+)
+def landing_ledger(spark, sf):
+    """Hourly files found by their names, read, and marked as processed: the second run looks back twice as far and
+    reads only what the first has not. One series' feed has a folder of its own."""
+    base = scratch_path(spark, "hourly-feed")
+    feed = load(spark, sf).filter(F.col("series_id") == "click").withColumn("file_name", file_hour("timestamp"))
+    last_days = feed.filter(F.col("timestamp") > F.timestamp_add("HOUR", F.lit(-48), as_time(NOW)))
+    landing.write_hourly(last_days.select("series_id", "timestamp", "value", "file_name"), f"{base}/feed")
+    out = []
+    for attempt in (1, 2):
+        expected = landing.expected_files(spark, NOW, 24 * attempt, f"{base}/feed")
+        done = spark.read.parquet(f"{base}/ledger") if attempt > 1 else None
+        paths = landing.found_paths(expected, done)
+        rows = spark.createDataFrame([], "series_id string, timestamp timestamp, value double, file_name string")
+        if paths:
+            rows = landing.read_hourly(spark, paths)
+        out.append(rows.withColumn("attempt", F.lit(attempt)))
+        landing.mark_processed(expected if done is None else only_missing(expected, done, ["file_name"]), f"{base}/ledger", NOW)
+    return out[0].unionByName(out[1])
 
 
 XML_DOCS = f"""{LOAD},

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourline import schemas
 from hourline.session import scratch_path
-from hourline.sources import tables
+from hourline.sources import tables, versions
 from hourline.streaming import streams
 from hourline.workload.base import CHECKS, LOAD, checks, query, sql, table
 from hourline.workload.storage import landed
@@ -59,6 +59,23 @@ def landing_to_table(spark, sf):
     return tables.read_table(spark, f"{base}/table", schema)
 
 
+@query(
+    "st5_versioned_sink",
+    sql(LOAD, """SELECT "timestamp", series_id, value, 'feed' AS source, "timestamp" AS fetched_at, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day FROM load"""),
+)
+def landing_to_versions(spark, sf):
+    """Landing files to a versioned table, a version for each micro-batch."""
+    base = scratch_path(spark, "landing-versions")
+    landed(spark, sf, f"{base}/landing")
+    stream = streams.landing_stream(spark, f"{base}/landing/*/*", schemas.LANDING_LOAD, max_files=100)
+    streams.versioned_sink(
+        tables.with_day(stream), f"{base}/table", ["series_id", "timestamp"], ["day"], f"{base}/checkpoint",
+        when="value IS NOT NULL", order="fetched_at",
+    ).awaitTermination()
+    schema = tables.with_day(spark.createDataFrame([], schemas.LANDING_LOAD)).schema
+    return versions.read_version(spark, f"{base}/table", schema, ["day"])
+
+
 @query(
     "st4_consecutive_stream",
     sql(CHECKS, """SELECT series_id, check_timestamp, CAST(count(*) FILTER (any_drift_detected) OVER (PARTITION BY series_id, breaks ORDER BY check_timestamp) AS INTEGER) AS consecutive
