@@ -64,44 +64,68 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-RUN_STATE = T.StructType([T.StructField("last_ms", T.LongType()), T.StructField("length", T.LongType())])
+RUN_STATE = T.StructType([
+    T.StructField("last_ms", T.LongType()), T.StructField("length", T.LongType()),
+    T.StructField("waiting_ms", T.ArrayType(T.LongType())), T.StructField("waiting_flag", T.ArrayType(T.BooleanType())),
+])
 RUN_OUTPUT = T.StructType([
     T.StructField("series_id", T.StringType()), T.StructField("check_timestamp", T.TimestampType()),
     T.StructField("consecutive", T.IntegerType()),
 ])
 
 
+def _counted(times: pd.Series, flags: pd.Series, last: int, length: int, contiguous: bool) -> pd.Series:
+    """Lengths of the runs of true flags that the checks end, in time order, after a run of `length` that ended at `last`."""
+    broken = ~flags
+    if contiguous:
+        first = times.iloc[0] if last < 0 else last + HOUR_MS
+        broken = broken | (times.diff().fillna(times.iloc[0] - first + HOUR_MS) != HOUR_MS)
+    run = broken.cumsum()
+    # Within a run the count restarts; a run that starts with a true flag counts that flag.
+    return flags.groupby(run).cumsum() + (run == 0) * length
+
+
 def _advance(contiguous: bool) -> Callable:
     def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
-        last, length = state.get if state.exists else (-1, 0)
-        rows = pd.concat(batches).sort_values("check_ms", kind="stable")
-        # A check at or before the newest counted one is a replay.
-        rows = rows[rows["check_ms"] > last].drop_duplicates("check_ms")
-        if rows.empty:
-            return
-        times, flags = rows["check_ms"], rows["flag"].astype(bool)
-        broken = ~flags
-        if contiguous:
-            first = times.iloc[0] if last < 0 else last + HOUR_MS
-            broken = broken | (times.diff().fillna(times.iloc[0] - first + HOUR_MS) != HOUR_MS)
-        run = broken.cumsum()
-        # Within a run the count restarts; a run that starts with a true flag counts that flag.
-        counted = flags.groupby(run).cumsum() + (run == 0) * length
-        state.update((int(times.iloc[-1]), int(counted.iloc[-1])))
-        yield pd.DataFrame(
-            {"series_id": key[0], "check_timestamp": pd.to_datetime(times.to_numpy(), unit="ms"),
-             "consecutive": counted.astype("int32").to_numpy()}
-        )
+        last, length, waiting_ms, waiting_flag = state.get if state.exists else (-1, 0, [], [])
+        kept = pd.DataFrame({"check_ms": pd.Series(list(waiting_ms), dtype="int64"), "flag": pd.Series(list(waiting_flag), dtype=bool)})
+        fresh = [] if state.hasTimedOut else [b[["check_ms", "flag"]] for b in batches]
+        rows = pd.concat([kept, *fresh], ignore_index=True)
+        rows["flag"] = rows["flag"].fillna(False).astype(bool)
+        # Of repeated checks a false flag stands; one at or before the newest counted check is a replay.
+        rows = rows.sort_values(["check_ms", "flag"], kind="stable").drop_duplicates("check_ms")
+        rows = rows[rows["check_ms"] > last]
+        closed = rows["check_ms"] < state.getCurrentWatermarkMs()
+        ready, rest = rows[closed].reset_index(drop=True), rows[~closed]
+        if len(ready):
+            counted = _counted(ready["check_ms"], ready["flag"], last, length, contiguous)
+            last, length = int(ready["check_ms"].iloc[-1]), int(counted.iloc[-1])
+        state.update((last, length, rest["check_ms"].tolist(), rest["flag"].tolist()))
+        if len(rest):
+            state.setTimeoutTimestamp(int(rest["check_ms"].iloc[0]))
+        if len(ready):
+            yield pd.DataFrame({
+                "series_id": key[0], "check_timestamp": pd.to_datetime(ready["check_ms"].to_numpy(), unit="ms"),
+                "consecutive": counted.astype("int32").to_numpy(),
+            })
 
     return step
 
 
-def consecutive_stream(checks: DataFrame, flag: str = "any_drift_detected", contiguous: bool = False) -> DataFrame:
-    """For every check, the length of the run of true flags it ends. State per series: the newest
-    check and the run so far, so a replayed batch counts once."""
-    rows = checks.select("series_id", F.unix_millis("check_timestamp").alias("check_ms"), F.col(flag).alias("flag"))
+def consecutive_stream(
+    checks: DataFrame, flag: str = "any_drift_detected", contiguous: bool = False, lateness: str = "1 day"
+) -> DataFrame:
+    """For every check, the length of the run of true flags it ends, in whatever order checks arrive.
+
+    A check waits in state until the watermark, `lateness` behind the newest check of all series, has passed it; then no
+    earlier one can come, and it is counted in time order. State per series: the run so far and the waiting checks, those
+    of one lateness span. A replayed check counts once. Checks later than the watermark are not counted; the
+    query's progress has their number (`late_rows`).
+    """
+    rows = checks.withWatermark("check_timestamp", lateness).select(
+        "series_id", "check_timestamp", F.unix_millis("check_timestamp").alias("check_ms"), F.col(flag).alias("flag"))
     return rows.groupBy("series_id").applyInPandasWithState(
-        _advance(contiguous), RUN_OUTPUT, RUN_STATE, "append", GroupStateTimeout.NoTimeout
+        _advance(contiguous), RUN_OUTPUT, RUN_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

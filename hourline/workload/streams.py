@@ -79,13 +79,15 @@ def landing_to_versions(spark, sf):
 @query(
     "st4_consecutive_stream",
     sql(CHECKS, """SELECT series_id, check_timestamp, CAST(count(*) FILTER (any_drift_detected) OVER (PARTITION BY series_id, breaks ORDER BY check_timestamp) AS INTEGER) AS consecutive
-      FROM (SELECT *, count(*) FILTER (NOT any_drift_detected) OVER (PARTITION BY series_id ORDER BY check_timestamp) AS breaks FROM checks)"""),
+      FROM (SELECT *, count(*) FILTER (NOT any_drift_detected) OVER (PARTITION BY series_id ORDER BY check_timestamp) AS breaks FROM checks)
+      WHERE check_timestamp < (SELECT max(check_timestamp) FROM checks) - INTERVAL 2 DAY"""),
 )
 def consecutive(spark, sf):
-    """The run of drift flags at every check, kept as state per series."""
+    """The run of drift flags at every check that the watermark has passed, two days behind the newest one; the files hold
+    the checks in no order."""
     path = scratch_path(spark, "checks")
-    checks(spark, sf).select("series_id", "check_timestamp", "any_drift_detected").write.parquet(path)
+    checks(spark, sf).select("series_id", "check_timestamp", "any_drift_detected").repartition(4).write.parquet(path)
     schema = spark.read.parquet(path).schema
     stream = spark.readStream.schema(schema).parquet(path)
-    rows, _ = streams.run_to_table(streams.consecutive_stream(stream), "runs")
+    rows, _ = streams.run_to_table(streams.consecutive_stream(stream, lateness="2 days"), "runs")
     return rows

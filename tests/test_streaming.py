@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 from series import hour
 
@@ -90,30 +92,64 @@ def check_files(spark, folder, batches):
         spark.createDataFrame(rows, "series_id string, check_timestamp timestamp, any_drift_detected boolean").coalesce(1).write.mode("append").parquet(str(folder))
 
 
+CLOSE = [("Z", 500, False)]  # moves the watermark past all other checks; it stays waiting itself
+
+
+def runs_of(spark, folder, batches, lateness, contiguous=False):
+    check_files(spark, folder, batches)
+    schema = spark.read.parquet(str(folder)).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    rows, query = streams.run_to_table(streams.consecutive_stream(stream, lateness=lateness, contiguous=contiguous), "runs")
+    return rows, query
+
+
 def test_run_length_survives_batches_and_replays(spark, tmp_path):
     folder = tmp_path / "checks"
     first = [("A", 0, True), ("A", 1, True), ("B", 0, False)]
     # The second batch repeats checks that were counted already.
     second = [("A", 1, True), ("A", 2, True), ("B", 1, True), ("A", 3, False), ("A", 5, True)]
-    check_files(spark, folder, [first, second])
-    schema = spark.read.parquet(str(folder)).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
-    rows, _ = streams.run_to_table(streams.consecutive_stream(stream), "runs")
+    rows, _ = runs_of(spark, folder, [first, second, CLOSE], "10 hours")
     got = {(r.series_id, r.check_timestamp): r.consecutive for r in rows.collect()}
     assert got == {
         ("A", hour(0)): 1, ("A", hour(1)): 2, ("A", hour(2)): 3, ("A", hour(3)): 0, ("A", hour(5)): 1,
         ("B", hour(0)): 0, ("B", hour(1)): 1,
     }
     newest = rows.groupBy("series_id").agg(F.max_by("consecutive", "check_timestamp"))
-    batch = spark.read.parquet(str(folder)).dropDuplicates(["series_id", "check_timestamp"])
+    batch = spark.read.parquet(str(folder)).dropDuplicates(["series_id", "check_timestamp"]).filter("series_id <> 'Z'")
     assert dict(newest.collect()) == dict(consecutive_true(batch, "any_drift_detected").collect())
 
 
+@pytest.mark.parametrize("contiguous", [False, True])
+def test_checks_in_any_order_count_as_in_order(spark, tmp_path, contiguous):
+    draw = random.Random(3)
+    checks = [(s, h, draw.random() < 0.8) for s in "AB" for h in range(60) if draw.random() < 0.9]
+    batches = [[c for c in checks if 15 * i <= c[1] < 15 * (i + 1)] for i in range(4)]
+    for i in range(3):  # a third of each batch comes with the next one, among checks up to 30 hours newer
+        late = [c for c in batches[i] if draw.random() < 0.33]
+        batches[i] = [c for c in batches[i] if c not in late]
+        batches[i + 1] = batches[i + 1] + late
+    for b in batches:
+        draw.shuffle(b)
+    rows, query = runs_of(spark, tmp_path / "checks", [*batches, CLOSE], "31 hours", contiguous)
+    expected, last, run = {}, {}, {}
+    for s, h, flag in sorted(checks):
+        gap = contiguous and s in last and h != last[s] + 1  # an hour without a check ends the run too
+        run[s] = 0 if not flag else 1 if gap else run.get(s, 0) + 1
+        last[s] = h
+        expected[s, hour(h)] = run[s]
+    assert {(r.series_id, r.check_timestamp): r.consecutive for r in rows.collect()} == expected
+    assert rows.count() == len(checks) and streams.late_rows(query) == 0
+
+
+def test_too_late_checks_are_counted_not_mixed_in(spark, tmp_path):
+    batches = [[("A", 0, True), ("A", 40, True)], [("A", 41, True)], [("A", 1, False), ("A", 42, True)], CLOSE]
+    rows, query = runs_of(spark, tmp_path / "checks", batches, "5 hours")
+    got = {r.check_timestamp: r.consecutive for r in rows.collect()}
+    assert got == {hour(0): 1, hour(40): 2, hour(41): 3, hour(42): 4} and streams.late_rows(query) == 1
+
+
 def test_contiguous_runs_end_at_an_absent_hour(spark, tmp_path):
-    folder = tmp_path / "checks"
-    check_files(spark, folder, [[("A", 0, True), ("A", 1, True)], [("A", 2, True), ("A", 5, True), ("A", 6, True)]])
-    schema = spark.read.parquet(str(folder)).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
-    rows, _ = streams.run_to_table(streams.consecutive_stream(stream, contiguous=True), "runs")
+    batches = [[("A", 0, True), ("A", 1, True)], [("A", 2, True), ("A", 5, True), ("A", 6, True)], CLOSE]
+    rows, _ = runs_of(spark, tmp_path / "checks", batches, "10 hours", contiguous=True)
     got = {r.check_timestamp: r.consecutive for r in rows.collect()}
     assert got == {hour(0): 1, hour(1): 2, hour(2): 3, hour(5): 1, hour(6): 2}
