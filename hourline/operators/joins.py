@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourline.config import WEATHER_COLUMNS
-from hourline.operators.slices import SERIES, TS
+from hourline.operators.slices import BLOCK_HOURS, SERIES, TS
 from hourline.operators.windows import latest_per
 
 
@@ -105,18 +105,34 @@ def weather_proxy(
     return out.withColumns(picked).drop("__then", *[f"__{p}_{c}" for p in ("then", "last") for c in columns])
 
 
-def hour_grid(bounds: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """Every hour from `first` to `last` of each row of `bounds`."""
-    hours = F.sequence(F.col("first"), F.col("last"), F.expr("interval 1 hour"))
-    return bounds.select(*keys, F.explode(hours).alias(TS))
+def absent_spans(df: DataFrame, keys: Sequence[str] = SERIES, slice_hours: int = BLOCK_HOURS) -> DataFrame:
+    """The stretches of hours without a row between a series' rows: the hour `before` and the hour `after` each stretch.
+
+    Neighbours are found per slice of time, so a hot series is no single task; the first hours of the slices, a row for each
+    slice that has rows, give the neighbour of a slice's last hour. Nothing is laid out hour by hour.
+    """
+    keys = list(keys)
+    hour = F.date_trunc("hour", TS)
+    sliced = F.floor(F.unix_seconds("before") / (3600 * slice_hours))
+    hours = df.select(*keys, hour.alias("before")).distinct().withColumn("__slice", sliced)
+    starts = hours.groupBy(*keys, "__slice").agg(F.min("before").alias("__start"))
+    along = Window.partitionBy(*keys).orderBy("__slice")
+    edges = starts.select(*keys, "__slice", F.lead("__start").over(along).alias("__edge"))
+    inside = Window.partitionBy(*keys, "__slice").orderBy("before")
+    placed = hours.withColumn("after", F.lead("before").over(inside)).join(edges, [*keys, "__slice"])
+    spans = placed.select(*keys, "before", F.coalesce("after", "__edge").alias("after"))
+    return spans.filter(F.unix_seconds("after") - F.unix_seconds("before") > 3600)
 
 
 def missing_hours(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """Hours between a series' first and last row for which it has no row at all."""
-    hour = F.date_trunc("hour", TS)
-    bounds = df.groupBy(*keys).agg(F.min(hour).alias("first"), F.max(hour).alias("last"))
-    present = df.select(*keys, hour.alias(TS))
-    return hour_grid(bounds, keys).join(present, [*keys, TS], "left_anti")
+    """Hours between a series' first and last row for which it has no row at all. Only the gaps are laid out, a long one in
+    parts that are dealt anew."""
+    step = F.expr("interval 1 hour")
+    first, last = F.timestamp_add("HOUR", F.lit(1), F.col("before")), F.timestamp_add("HOUR", F.lit(-1), F.col("after"))
+    parts = absent_spans(df, keys).select(
+        *keys, last.alias("__last"), F.explode(F.sequence(first, last, F.expr(f"interval {BLOCK_HOURS} hours"))).alias("__first"))
+    end = F.least("__last", F.timestamp_add("HOUR", F.lit(BLOCK_HOURS - 1), F.col("__first")))
+    return parts.hint("rebalance").select(*keys, F.explode(F.sequence(F.col("__first"), end, step)).alias(TS))
 
 
 def only_missing(expected: DataFrame, present: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourline.config import FEATURE_NULL_WARNING, MIN_TRAINING_ROWS, NULL_RATE_WARNING
 from hourline.functions.scalar import as_time, days_before, hours_before
-from hourline.operators.joins import hour_grid
+from hourline.operators.joins import absent_spans
 from hourline.operators.project import between_ts
 from hourline.operators.slices import SERIES, TS
 from hourline.operators.windows import latest_per
@@ -98,16 +98,15 @@ def gap_report(
     now = as_time(now)
     start, end = days_before(now, days), hours_before(now, settle_hours)
     recent = between_ts(df, start, end).select(*keys, TS, "value")
-    gaps = recent.filter(F.col("value").isNull()).select(*keys, TS)
+    gaps = recent.filter(F.col("value").isNull()).select(*keys, F.lit(1).cast("long").alias("n"), F.col(TS).alias("first"))
     if absent_too:
-        last = F.date_trunc("hour", end)
-        bounds = recent.groupBy(*keys).agg(F.min(F.date_trunc("hour", TS)).alias("first"))
-        grid = hour_grid(bounds.withColumn("last", last), keys)
-        present = recent.select(*keys, F.date_trunc("hour", TS).alias(TS))
-        gaps = gaps.unionByName(grid.join(present, [*keys, TS], "left_anti"))
-    return gaps.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("gaps"), F.min(TS).alias("first_gap")
-    )
+        hours = lambda a, b: F.floor((F.unix_seconds(b) - F.unix_seconds(a)) / 3600)
+        after = F.timestamp_add("HOUR", F.lit(1), F.col("before")).alias("first")
+        between = absent_spans(recent, keys).select(*keys, (hours("before", "after") - 1).alias("n"), after)
+        newest = recent.groupBy(*keys).agg(F.max(F.date_trunc("hour", TS)).alias("before"))
+        rest = newest.withColumn("__end", F.date_trunc("hour", end)).select(*keys, hours("before", "__end").alias("n"), after)
+        gaps = gaps.unionByName(between).unionByName(rest.filter("n > 0"))
+    return gaps.groupBy(*keys).agg(F.sum("n").alias("gaps"), F.min("first").alias("first_gap"))
 
 
 def run_summary(

@@ -63,9 +63,13 @@ def slice_by_rows(
     keys: Sequence[str] = SERIES,
     ts: str = TS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    min_rows: int = 0,
 ) -> DataFrame:
-    """Slices with a halo of `back` rows before and `ahead` rows after."""
-    placed = with_position(df, _POS, keys, ts)
+    """Slices with a halo of `back` rows before and `ahead` rows after. Series of fewer than `min_rows` rows are left out: their
+    length comes with the numbering, without another pass or join by series."""
+    placed = with_position(df, _POS, keys, ts, total="__total" if min_rows else None)
+    if min_rows:
+        placed = placed.filter(F.col("__total") >= min_rows).drop("__total")
     zero_based = F.col(_POS) - 1
     home = F.floor(zero_based / rows_per_slice)
     first = F.greatest(F.floor((zero_based - ahead) / rows_per_slice), F.lit(0))

@@ -8,7 +8,6 @@ from hourline.config import FEATURE_COLUMNS, FeatureOptions
 from hourline.functions.calendar import add_calendar
 from hourline.operators.joins import join_weather
 from hourline.operators.project import require_columns
-from hourline.operators.quality import long_enough
 from hourline.operators.slices import drop_halo, in_slice, slice_by_rows
 from hourline.operators.windows import (
     eve_column, impute_columns, impute_halo, lag_columns, rolling_columns, temperature_lag_column,
@@ -28,12 +27,11 @@ def build_features(
     than `options.min_rows` rows are left out; `operators.quality.require_rows` reports them.
     """
     require_columns(load, ("series_id", "timestamp", "value"))
-    rows = long_enough(load, options.min_rows) if options.min_rows else load
-    joined = join_weather(rows, weather)
+    joined = join_weather(load, weather)
 
     fill_back, fill_ahead = impute_halo()
     back = max(*options.lag_hours, *(s.rows for s in options.rolling), fill_back + 24)
-    sliced = slice_by_rows(joined, back, fill_ahead, rows_per_slice=options.rows_per_slice)
+    sliced = slice_by_rows(joined, back, fill_ahead, rows_per_slice=options.rows_per_slice, min_rows=options.min_rows)
     w = in_slice()
     out = lag_columns(sliced, w, "value", options.lag_hours)
     out = rolling_columns(out, w, "value", options.rolling)

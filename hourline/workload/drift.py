@@ -19,9 +19,6 @@ def silver(spark, sf):
     return written(matrix(spark, sf), "silver")
 
 
-FEW = ("value", "temperature", "humidity", "lag_24h")
-
-
 def _wins(source: str, columns) -> str:
     cast = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
     return f"""wins AS (
@@ -79,7 +76,7 @@ def column_drift(spark, sf):
     return rounded(drift.column_drift(seen, COLUMNS), "score")
 
 
-CURVES = f"""{MATRIX}, {_wins('matrix', FEW)}, {_long(FEW)},
+CURVES = f"""{MATRIX}, {_wins('matrix', COLUMNS)}, {_long(COLUMNS)},
 counted AS (SELECT series_id, column_name, v, count(*) FILTER (w = 'reference') AS r, count(*) FILTER (w = 'current') AS c FROM long GROUP BY 1, 2, 3),
 curves AS (
   SELECT series_id, column_name, v, lead(v) OVER o AS next_v,
@@ -89,18 +86,18 @@ curves AS (
 
 @query("d02_column_drift_ks", sql(CURVES, "SELECT series_id, column_name, max(abs(fr - fc)) AS score FROM curves GROUP BY 1, 2"))
 def column_ks(spark, sf):
-    return drift.column_scores(drift.drift_windows(silver(spark, sf), NOW, FEW), FEW, "ks")
+    return drift.column_scores(drift.drift_windows(silver(spark, sf), NOW, COLUMNS), COLUMNS, "ks")
 
 
 @query(
     "d02_column_drift_wasserstein",
     sql(CURVES, """SELECT series_id, column_name, round(area / greatest(spread, 0.001), 6) AS score
-      FROM (SELECT series_id, column_name, sum(abs(fr - fc) * (next_v - v)) AS area FROM curves GROUP BY 1, 2)
+      FROM (SELECT series_id, column_name, coalesce(sum(abs(fr - fc) * (next_v - v)), 0) AS area FROM curves GROUP BY 1, 2)
       JOIN (SELECT series_id, column_name, stddev_pop(v) AS spread FROM long WHERE w = 'reference' GROUP BY 1, 2) USING (series_id, column_name)"""),
 )
 def column_wasserstein(spark, sf):
-    seen = drift.drift_windows(silver(spark, sf), NOW, FEW)
-    return rounded(drift.column_scores(seen, FEW, "wasserstein"), "score")
+    seen = drift.drift_windows(silver(spark, sf), NOW, COLUMNS)
+    return rounded(drift.column_scores(seen, COLUMNS, "wasserstein"), "score")
 
 
 DATASET = """flags AS (

@@ -100,3 +100,16 @@ def test_upsert_joins_once(spark, stored):
 
 def test_what_is_broadcast_on_purpose_is_small(spark):
     assert holiday_dim(spark).count() < 2000
+
+
+def test_short_series_are_left_out_without_a_join_by_series(spark, stored):
+    """With broadcasts off, no join or window of the rows meets all rows of a series."""
+    load, weather = stored
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(build_features(load, weather, FeatureOptions(min_rows=100)))
+        assert re.search("SortMergeJoin", plan)
+        assert not re.search(r"(SortMergeJoin|ShuffledHashJoin) \[series_id#\d+\], ", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

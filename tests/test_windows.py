@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from series import START, by_hour, hour, load_frame, weather_frame
 
 from hourline.config import FeatureOptions
 from hourline.functions.calendar import add_calendar, holiday_dim
-from hourline.operators import joins, slices, windows
+from hourline.operators import joins, quality, slices, windows
 from hourline.plans.features import build_features, feature_columns
 
 
@@ -224,3 +225,18 @@ def test_holidays_of_any_year(spark):
     days = spark.createDataFrame([("2101-12-25", True), ("1950-12-25", True), ("2101-04-17", True), ("2101-04-18", True), ("2101-04-19", False)], "d string, expected boolean")
     found = add_calendar(days.selectExpr("*", "timestamp(d || ' 12:00:00') AS timestamp"))
     assert all(r["is_holiday"] == r["expected"] for r in found.collect())
+
+
+def test_gaps_between_rows_far_apart(spark):
+    rows = [("A", h) for h in (0, 1, 4, 5000, 5001)] + [("B", 7)] + [("C", 0), ("C", 2_000_000)]
+    df = spark.createDataFrame(rows, "series_id string, h long").select("series_id", F.timestamp_seconds(F.col("h") * 3600 + 1800).alias("timestamp"))
+    df = df.unionByName(df)  # rows that repeat an hour
+    spans = {(r.series_id, int(r.before.timestamp()) // 3600, int(r.after.timestamp()) // 3600) for r in joins.absent_spans(df, slice_hours=3).collect()}
+    assert spans == {("A", 1, 4), ("A", 4, 5000), ("C", 0, 2_000_000)}
+    missing = joins.missing_hours(df)
+    counts = {r.series_id: (r.n, r.u, int(r.a.timestamp()) // 3600, int(r.b.timestamp()) // 3600) for r in missing.groupBy("series_id").agg(
+        F.count("*").alias("n"), F.count_distinct("timestamp").alias("u"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).collect()}
+    assert counts == {"A": (4997, 4997, 2, 4999), "C": (1_999_999, 1_999_999, 1, 1_999_999)}
+    report = {r.series_id: r.gaps for r in quality.gap_report(df.withColumn("value", F.lit(1.0)), "2198-03-01 00:00:00", days=90_000, settle_hours=0).collect()}
+    last = int(dt.datetime(2198, 3, 1, tzinfo=dt.timezone.utc).timestamp()) // 3600
+    assert report == {"A": 4997 + last - 5001, "B": last - 7, "C": 1_999_999 + last - 2_000_000}
