@@ -14,6 +14,12 @@ from hourline.operators.windows import (
 )
 
 
+def halo(options: FeatureOptions = FeatureOptions()) -> tuple[int, int]:
+    """Rows before and after a row that its features can depend on. Lags by the clock reach no further: an hour has one row."""
+    fill_back, fill_ahead = impute_halo()
+    return max(*options.lag_hours, *(s.rows for s in options.rolling), fill_back + 24), max(fill_ahead, 1)
+
+
 def build_features(
     load: DataFrame,
     weather: DataFrame | None = None,
@@ -29,8 +35,7 @@ def build_features(
     require_columns(load, ("series_id", "timestamp", "value"))
     joined = join_weather(load, weather)
 
-    fill_back, fill_ahead = impute_halo()
-    back = max(*options.lag_hours, *(s.rows for s in options.rolling), fill_back + 24)
+    back, fill_ahead = halo(options)
     sliced = slice_by_rows(joined, back, fill_ahead, rows_per_slice=options.rows_per_slice, min_rows=options.min_rows)
     w = in_slice()
     out = lag_columns(sliced, w, "value", options.lag_hours)

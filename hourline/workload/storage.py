@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 from hourline import schemas
 from hourline.operators import quality
 from hourline.operators.joins import only_missing
-from hourline.plans.rebuild import build_window, rebuild
+from hourline.plans.rebuild import build_window, rebuild, rebuild_changed
 from hourline.config import FeatureOptions
 from hourline.functions.scalar import as_time, file_hour
-from hourline.session import scratch_path
+from hourline.session import scratch_path, written
 from hourline.sources import flags, landing, payloads, tables, upsert
 from hourline.sources import versions as stored
 from hourline.workload.base import (
     CHECKS, LOAD, NOW, NOW_SQL, WEATHER, checks, forecasts, FORECASTS, load, MODEL_RUNS, query, sql, stored_runs, weather,
 )
-from hourline.workload.features import MATRIX
+from hourline.workload.features import MATRIX, matrix
 
 KEY = ["series_id", "timestamp"]
 
@@ -387,3 +387,20 @@ def incremental(spark, sf):
     """The last day only, from an overlap long enough that every row-counting frame is complete."""
     options = FeatureOptions(min_rows=0)
     return build_window(load(spark, sf), weather(spark, sf), "2024-01-29", "2024-01-30", 400, options=options)
+
+
+EDITED = MATRIX.replace(LOAD, LOAD.replace("load AS", "unedited AS", 1) + """,
+load AS (SELECT series_id, "timestamp", CASE WHEN CAST("timestamp" AS DATE) = DATE '2024-01-20' THEN value + 1 ELSE value END AS value
+  FROM unedited WHERE "timestamp" <> TIMESTAMP '2024-01-08 05:00:00')""", 1)
+
+
+@query("s18_s20_rebuilt_changes", sql(EDITED, "SELECT * FROM matrix"))
+def rebuilt_changes(spark, sf):
+    """The matrix after a day of values was corrected and an hour removed, from the change feed: the blocks that these
+    reach are built again, the others are those of the matrix before."""
+    before = load(spark, sf)
+    value = F.when(F.to_date("timestamp") == F.lit("2024-01-20").cast("date"), F.col("value") + 1).otherwise(F.col("value"))
+    after = before.withColumn("value", value).filter(F.col("timestamp") != "2024-01-08 05:00:00")
+    stored_after = written(after, "edited-load")
+    changed = upsert.changes(before, stored_after, KEY).select(*KEY).distinct()
+    return rebuild_changed(written(matrix(spark, sf), "matrix"), stored_after, weather(spark, sf), written(changed, "changed"), block_hours=24)
