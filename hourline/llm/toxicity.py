@@ -29,9 +29,12 @@ DIMENSIONS = 1 << 19  # all words are hashed to these; telling terms have dimens
 MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic above which a term weighs more
 TELLING = 8.0  # weight of a telling term per unit of log odds, where a word weighs its inverse document frequency
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
-# Dimensions that more than a hundredth of the examples have are held as a matrix, at most so many: multiplying a column for
-# every text costs less than adding its postings for the texts that have it (190 columns instead of 512: 4.3 ms a text, not 3.3).
-DENSE, DENSE_SHARE = 512, 100
+# Dimensions that more than a fiftieth of a cell's examples have are held as its matrix, at most so many.
+DENSE, DENSE_SHARE = 512, 50
+CELLS, CELL_ROUNDS = 8, 5  # cells of similar examples, and rounds of k-means that find them
+BLOCK = 64  # examples whose largest weights bound them
+STRIDE = 8  # examples whose best stands for them while a bar for the k-th best is sought
+SINGLE = 1e-5  # error of sums in single precision, at most
 TOGETHER = 64  # texts compared with all examples at a time
 WORDS_KEPT = 300_000  # words whose dimensions a worker remembers
 
@@ -52,69 +55,198 @@ def word_terms(word: str) -> list[str]:
     return [f"{word}$", *[word[:n] for n in range(HEAD, min(len(word), TAIL + 1))]]
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+# ASCII characters that no word holds become spaces.
+GAPS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def chunks(text: str | None) -> list[bytes]:
+    """The lower-cased text, cut at ASCII characters outside words; `words_of` finds the words of a chunk."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(GAPS).split()
+
+
+def words_of(chunk: bytes) -> list[str]:
+    return WORD.findall(chunk.decode("utf-8", "surrogatepass"))
+
+
+@dataclass
+class Cell:
+    """Places `low` to `high` - 1 of the index, whole blocks, and a matrix of the dimensions that most examples there have."""
+
+    low: int
+    high: int
+    column: np.ndarray  # place of a dimension in the matrix, or -1
+    matrix: np.ndarray  # (place, example)
+    peaks: np.ndarray  # (place, block): the largest weight of a dimension in BLOCK examples
 
 
 @dataclass
-class CosineIndex:
-    """Unit vectors of the examples, all of them: postings, and a matrix of the dimensions that most examples have."""
+class BlockMaxIndex:
+    """Unit vectors of the examples, all of them, in cells of similar ones.
+
+    The dimensions that most examples of a cell have are held as a matrix with its block maxima, all others as postings. Postings
+    are summed for every example; the best of that sum plus what a block's maxima allow says which blocks can hold one of the nearest,
+    and only their columns of the matrix are multiplied. No example that could be among the nearest is left out.
+    """
 
-    size: int
+    size: int  # places
+    order: np.ndarray  # the example at each place of the index; places that only fill a block have none (-1) and no weights
     start: np.ndarray  # first posting of a dimension
-    example: np.ndarray
+    place: np.ndarray
     weight: np.ndarray
-    column: np.ndarray  # place of a dimension in the matrix, or -1
-    dense: np.ndarray  # (place, example)
+    cells: list[Cell]
+    centres: np.ndarray  # (dimension of the sketch, cell)
+    sketch: np.ndarray  # place of a dimension in the sketch, or -1
+    blocks: int = 0  # blocks of the texts asked for, and those opened
+    opened: int = 0
 
     @classmethod
-    def build(cls, rows: list[dict[int, float]], dimensions: int) -> CosineIndex:
+    def build(cls, rows: list[dict[int, float]], dimensions: int) -> BlockMaxIndex:
         return cls.of(
             np.array([i for i, r in enumerate(rows) for _ in r], np.int32), np.array([t for r in rows for t in r], np.int32),
             np.array([w for r in rows for w in r.values()], np.float32), len(rows), dimensions)
 
     @classmethod
-    def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> CosineIndex:
-        held = np.bincount(dimension, minlength=dimensions)
-        common = np.argsort(-held, kind="stable")[:DENSE]
-        common = common[held[common] * DENSE_SHARE > size]
-        column = np.full(dimensions, -1, np.int32)
-        column[common] = np.arange(len(common))
-        dense = np.zeros((len(common), size), np.float32)
-        there = column[dimension] >= 0
-        dense[column[dimension[there]], example[there]] = weight[there]
-        example, dimension, weight = example[~there], dimension[~there], weight[~there]
-        order = np.argsort(dimension, kind="stable")
-        start = np.concatenate([[0], np.cumsum(np.bincount(dimension, minlength=dimensions))])
-        return cls(size, start, example[order], weight[order], column, dense)
+    def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> BlockMaxIndex:
+        sketch = _frequent(dimension, size, dimensions)
+        there = np.flatnonzero(sketch[dimension] >= 0)
+        dense = np.zeros((sketch.max(initial=-1) + 1, size), np.float32)
+        dense[sketch[dimension[there]], example[there]] = weight[there]
+        centres, own = _cells(dense)
+        del dense
+        held = np.bincount(own, minlength=centres.shape[1])
+        bounds = np.concatenate([[0], np.cumsum(-(-held // BLOCK) * BLOCK)])
+        by_cell = np.argsort(own, kind="stable")
+        at = np.empty(size, np.int32)
+        at[by_cell] = np.arange(size) + np.repeat(bounds[:-1] - np.cumsum(held) + held, held)
+        order = np.full(bounds[-1], -1, np.int32)
+        order[at] = np.arange(size, dtype=np.int32)
+        place = at[example]
+        in_matrix = np.zeros(len(place), bool)
+        cells = []
+        for low, high, n in zip(bounds[:-1].tolist(), bounds[1:].tolist(), held.tolist(), strict=True):
+            inside = np.flatnonzero((place >= low) & (place < high))
+            column = _frequent(dimension[inside], n, dimensions)
+            there = inside[column[dimension[inside]] >= 0]
+            in_matrix[there] = True
+            matrix = np.zeros((column.max(initial=-1) + 1, high - low), np.float32)
+            matrix[column[dimension[there]], place[there] - low] = weight[there]
+            cells.append(Cell(low, high, column, matrix, _peaks(matrix, BLOCK)))
+        rest = np.flatnonzero(~in_matrix)
+        rest = rest[np.argsort(dimension[rest], kind="stable")]
+        start = np.concatenate([[0], np.cumsum(np.bincount(dimension[rest], minlength=dimensions))])
+        return cls(len(order), order, start, place[rest], weight[rest], cells, centres, sketch)
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, best first, ties by example."""
         ids, values = np.array(list(vector), np.int64), np.array(list(vector.values()), np.float64)
-        return next(self.nearest_all(np.array([0, len(ids)]), ids, values, k))
-
-    def nearest_all(self, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
-        """`nearest` of each vector; vector i has the dimensions ids[at[i]:at[i + 1]]. Every example is compared. The matrix
-        is multiplied in single precision, and what comes within its error of the k-th best is added up again in double."""
-        for first in range(0, len(at) - 1, TOGETHER):
-            last = min(first + TOGETHER, len(at) - 1)
-            common = np.zeros((last - first, len(self.dense)))
-            for i in range(first, last):
-                place = self.column[ids[at[i] : at[i + 1]]]
-                common[i - first, place[place >= 0]] = values[at[i] : at[i + 1]][place >= 0]
-            products = common.astype(np.float32) @ self.dense
-            for i in range(first, last):
-                own = ids[at[i] : at[i + 1]]
-                begin, end = self.start[own], self.start[own + 1]
-                spans = [slice(b, e) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]  # copied whole, not gathered
-                scaled = np.concatenate([self.weight[s] for s in spans] or [self.weight[:0]]) * np.repeat(values[at[i] : at[i + 1]], end - begin)
-                rare = np.bincount(np.concatenate([self.example[s] for s in spans] or [self.example[:0]]), scaled, self.size)
-                rough = rare + products[i - first]
-                least = np.partition(rough, self.size - k)[self.size - k] if self.size > k else 0.0
-                found = np.flatnonzero(rough >= least - 1e-5) if least > 1e-5 else np.flatnonzero(rough > 0)
-                cosines = rare[found] + common[i - first] @ self.dense[:, found].astype(np.float64)
-                best = np.lexsort((found, -np.round(cosines, 9)))[:k]
-                yield found[best], cosines[best]
+        return self.nearest_all(np.array([0, len(ids)]), ids, values, k)[0]
+
+    def nearest_all(self, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` of each vector; vector i has the dimensions ids[at[i]:at[i + 1]]. Texts of the same home cell go together. Sums
+        are in single precision, and what comes within their error of the k-th best is added up again in double."""
+        n = len(at) - 1
+        row = np.repeat(np.arange(n), np.diff(at))
+        home = np.zeros(n, np.int64)
+        for low in range(0, n, 1024):
+            span = slice(at[low], at[min(low + 1024, n)])
+            home[low : low + 1024] = np.argmax(_matrix(row[span] - low, self.sketch[ids[span]], values[span], min(1024, n - low), len(self.centres)) @ self.centres, axis=1)
+        out: list = [None] * n
+        for cell in range(len(self.cells)):
+            same = np.flatnonzero(home == cell)
+            for first in range(0, len(same), TOGETHER):
+                group = same[first : first + TOGETHER]
+                for i, found in zip(group.tolist(), self._group(group, cell, at, ids, values, k), strict=True):
+                    out[i] = found
+        return out
+
+    def _postings(self, ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+        begin, end = self.start[ids], self.start[ids + 1]
+        some = np.flatnonzero(end > begin)
+        begin, end = begin[some], end[some]
+        spans = [slice(b, e) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]  # copied whole, not gathered
+        if not spans:
+            return np.zeros(self.size)
+        scaled = np.concatenate([self.weight[s] for s in spans])
+        scaled *= np.repeat(values[some].astype(np.float32), end - begin)
+        return np.bincount(np.concatenate([self.place[s] for s in spans]), scaled, self.size)
+
+    def _group(self, group: np.ndarray, home: int, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
+        sums = np.empty((len(group), self.size), np.float32)
+        for j, i in enumerate(group.tolist()):
+            sums[j] = self._postings(ids[at[i] : at[i + 1]], values[at[i] : at[i + 1]])
+        own = np.concatenate([np.arange(at[i], at[i + 1]) for i in group])
+        row, ids, values = np.repeat(np.arange(len(group)), np.diff(at)[group]), ids[own], values[own]
+        least = np.full(len(group), SINGLE)
+        best: list[list] = [[] for _ in group]
+        for c in [home, *[c for c in range(len(self.cells)) if c != home]]:
+            cell = self.cells[c]
+            if cell.high == cell.low:
+                continue
+            asked = _matrix(row, cell.column[ids], values, len(group), len(cell.matrix))
+            part = sums[:, cell.low : cell.high]
+            open_ = (_peaks(part, BLOCK) + asked @ cell.peaks >= least[:, None] - SINGLE).any(axis=0)
+            self.blocks += len(open_)
+            self.opened += int(open_.sum())
+            if not open_.any():
+                continue
+            # Columns of the opened blocks, or the whole matrix as it lies if they are most of it.
+            if open_.mean() > 0.5:
+                columns, total = np.arange(cell.high - cell.low), asked @ cell.matrix
+                total += part
+            else:
+                columns = np.flatnonzero(np.repeat(open_, BLOCK))
+                total = part[:, columns] + asked @ cell.matrix[:, columns]
+            tops = _peaks(total, STRIDE)
+            if tops.shape[1] > k:  # k of these are k examples
+                least = np.maximum(least, np.partition(tops, tops.shape[1] - k, axis=1)[:, -k])
+            for j, (bar, peak) in enumerate(zip((least - SINGLE).tolist(), tops.max(axis=1).tolist(), strict=True)):
+                if peak >= bar:
+                    near = np.flatnonzero(total[j] >= bar)
+                    cosines = part[j, columns[near]] + asked[j].astype(np.float64) @ cell.matrix[:, columns[near]].astype(np.float64)
+                    best[j].append((self.order[cell.low + columns[near]], cosines))
+        for parts in best:
+            examples = np.concatenate([p[0] for p in parts] or [self.order[:0]])
+            cosines = np.concatenate([p[1] for p in parts] or [np.zeros(0)])
+            first = np.lexsort((examples, -np.round(cosines, 7)))[:k]
+            first = first[cosines[first] > SINGLE]
+            yield examples[first], cosines[first]
+
+
+def _frequent(dimension: np.ndarray, size: int, dimensions: int) -> np.ndarray:
+    """Places of the dimensions that more than a `DENSE_SHARE`-th of the examples have, most frequent first, `DENSE` at most; -1 for others."""
+    held = np.bincount(dimension, minlength=dimensions)
+    common = np.argsort(-held, kind="stable")[:DENSE]
+    common = common[held[common] * DENSE_SHARE > size]
+    column = np.full(dimensions, -1, np.int16)
+    column[common] = np.arange(len(common))
+    return column
+
+
+def _peaks(rows: np.ndarray, length: int) -> np.ndarray:
+    """The largest of each `length` columns in turn."""
+    return rows.reshape(len(rows), rows.shape[1] // length, length).max(axis=2)
+
+
+def _matrix(row: np.ndarray, place: np.ndarray, values: np.ndarray, rows: int, places: int) -> np.ndarray:
+    """(row, place) of the values that have a place."""
+    there = place >= 0
+    out = np.zeros((rows, places), np.float32)
+    out[row[there], place[there]] = values[there]
+    return out
+
+
+def _cells(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centres as columns, and each example's cell: spherical k-means from seeded draws among the longest vectors."""
+    size = dense.shape[1]
+    if not size or not len(dense):
+        return np.zeros((len(dense), 1), np.float32), np.zeros(size, np.int64)
+    longest = np.argsort(-np.einsum("ij,ij->j", dense, dense), kind="stable")[: max(1, size // 2)]
+    centres = dense[:, np.random.default_rng(CELLS).choice(longest, min(CELLS, len(longest)), replace=False)]
+    for _ in range(CELL_ROUNDS):
+        own = np.argmax(centres.T @ dense, axis=0)
+        sums = np.stack([dense[:, own == c].sum(axis=1) for c in range(centres.shape[1])], axis=1)
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=0), 1e-9)
+    return centres.astype(np.float32), np.argmax(centres.T @ dense, axis=0)
 
 
 def _packed(batches):
@@ -155,8 +287,9 @@ class Learned:
         terms = np.concatenate([np.cumsum(b.column(2).flatten().to_numpy(), dtype=np.int32) for b in batches])
         counts = np.concatenate([b.column(3).flatten().to_numpy() for b in batches])
         sizes = np.concatenate([np.diff(b.column(2).offsets.to_numpy()) for b in batches])
+        del batches
         example = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes)
-        self.index = CosineIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(self.ids)).astype(np.float32), len(self.ids), len(held))
+        self.index = BlockMaxIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(self.ids)).astype(np.float32), len(self.ids), len(held))
 
 
 @dataclass
@@ -171,27 +304,28 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
     _words: dict = field(default_factory=dict, repr=False)
+    _told: dict = field(default_factory=dict, repr=False)
 
-    def places(self, word: str) -> int | tuple[int, ...]:
-        """Dimensions of the word: a hashed one for each piece, and those of the telling terms it holds. A single one is a number."""
-        if (known := self._words.get(word)) is None:
-            parts = pieces(word)
+    def places(self, chunk: bytes) -> int | tuple[int, ...]:
+        """Dimensions of the chunk's words: a hashed one for each piece, and those of the telling terms it holds. A single one is a number."""
+        if (known := self._words.get(chunk)) is None:
+            parts = [p for w in words_of(chunk) for p in pieces(w)]
             known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
                      *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
             known = known[0] if len(known) == 1 else known
             if len(self._words) > WORDS_KEPT:
                 self._words.clear()
-            self._words[word] = known
+            self._words[chunk] = known
         return known
 
     def counts(self, text: str | None) -> dict[int, int]:
         """Counts of the dimensions of all words of the text, in no order."""
         found: dict[int, int] = {}
         known, had = self._words.get, found.get
-        for word, n in Counter(words_of(text)).items():
-            at = known(word)
+        for chunk, n in Counter(chunks(text)).items():
+            at = known(chunk)
             if at is None:
-                at = self.places(word)
+                at = self.places(chunk)
             if at.__class__ is int:
                 found[at] = had(at, 0) + n
             else:
@@ -201,7 +335,15 @@ class Model:
 
     def telling(self, text: str | None) -> set[str]:
         """The telling terms of the text."""
-        return {t for w in set(words_of(text)) for p in pieces(w) if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms}
+        found: set[str] = set()
+        for chunk in set(chunks(text)):
+            if (known := self._told.get(chunk)) is None:
+                known = tuple(t for w in words_of(chunk) for p in pieces(w) if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms)
+                if len(self._told) > WORDS_KEPT:
+                    self._told.clear()
+                self._told[chunk] = known
+            found.update(known)
+        return found
 
     def vote(self, toxic: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic among the neighbours, weighted by cosine, with the prior as one weak neighbour."""
@@ -238,7 +380,7 @@ def _counted(batches, terms_of):
 
 
 def _all_terms(text):
-    return {t for w in set(words_of(text)) for p in pieces(w) for t in word_terms(p)}
+    return {t for c in set(chunks(text)) for w in words_of(c) for p in pieces(w) for t in word_terms(p)}
 
 
 def _sums(texts: DataFrame, terms_of) -> DataFrame:

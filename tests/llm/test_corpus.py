@@ -238,17 +238,42 @@ def test_toxicity(spark, docs, none, sf_dir):
 
 
 def test_nearest_examples_are_exact():
+    """Equal to a plain comparison, with as many blocks left shut as the bounds allow: examples of two kinds that share little."""
     draw = np.random.default_rng(5)
     rows = []
-    for _ in range(900):
-        ids = draw.choice(40, draw.integers(1, 6), replace=False)
+    for n in range(1800):
+        ids = draw.choice(40, draw.integers(1, 6), replace=False) + 40 * (n % 2)
+        if n % 9 == 0:
+            ids = np.append(ids, 80 + n % 5)
         w = draw.random(len(ids)) + 0.1
         rows.append(dict(zip(ids.tolist(), (w / np.linalg.norm(w)).tolist(), strict=True)))
-    index = toxicity.CosineIndex.build(rows, 40)
-    for query in rows[:60]:
+    index = toxicity.BlockMaxIndex.build(rows, 90)
+    asked = [*rows[:150], {89: 1.0}, {}, {0: 0.6, 40: 0.8}]
+    at = np.concatenate([[0], np.cumsum([len(q) for q in asked])])
+    ids, values = np.array([t for q in asked for t in q], np.int64), np.array([w for q in asked for w in q.values()])
+    for query, (found, near) in zip(asked, index.nearest_all(at, ids, values, 10), strict=True):
         cosines = np.array([sum(w * r.get(t, 0) for t, w in query.items()) for r in rows])
-        found, values = index.nearest(query, 10)
-        assert np.allclose(values, np.sort(cosines)[::-1][:10]) and np.allclose(cosines[found], values)
+        best = np.sort(cosines)[::-1][:10]
+        assert np.allclose(near, best[best > 1e-5]) and np.allclose(cosines[found], near)
+        alone, _ = index.nearest(query, 10)
+        assert np.allclose(cosines[alone], near)
+    assert 0 < index.opened < index.blocks
+    for size in (0, 1, 3, 70):
+        few = toxicity.BlockMaxIndex.build(rows[:size], 90)
+        assert len(few.nearest(rows[0], 10)[0]) <= size and (not size or abs(few.nearest(rows[0], 10)[1][0] - 1) < 1e-6)
+    same = toxicity.BlockMaxIndex.build([rows[0]] * 100, 90)  # ties: the first examples
+    assert same.nearest(rows[0], 10)[0].tolist() == list(range(10))
+
+
+def test_words_are_found_in_chunks():
+    model = toxicity.Model({})
+    texts = ["A,b_c  d'e\u00a0f\u2014g 1.2", "\ud800 x", "", None, "\u00c4\u00d6-\u00fc \u4f60\u597d", LONG]
+    for text in texts:
+        plain = defaultdict(int)
+        for word in toxicity.WORD.findall((text or "").lower()):
+            for p in toxicity.pieces(word):
+                plain[zlib.crc32(p.encode("utf-8", "surrogatepass")) % toxicity.DIMENSIONS] += 1
+        assert model.counts(text) == plain
 
 
 def test_all_words_and_examples_are_compared(spark):
