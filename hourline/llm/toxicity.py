@@ -33,9 +33,11 @@ NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
 DENSE, DENSE_SHARE = 512, 50
 CELLS, CELL_ROUNDS = 8, 5  # cells of similar examples, and rounds of k-means that find them
 BLOCK = 64  # examples whose largest weights bound them
+SLAB = 1 << 15  # dimensions whose postings are put in order at a time
 STRIDE = 8  # examples whose best stands for them while a bar for the k-th best is sought
 SINGLE = 1e-5  # error of sums in single precision, at most
 TOGETHER = 64  # texts compared with all examples at a time
+ROWS_AT_ONCE = 2048  # rows of a batch whose vectors are in memory at a time
 WORDS_KEPT = 300_000  # words whose dimensions a worker remembers
 
 
@@ -131,10 +133,17 @@ class BlockMaxIndex:
             matrix = np.zeros((column.max(initial=-1) + 1, high - low), np.float32)
             matrix[column[dimension[there]], place[there] - low] = weight[there]
             cells.append(Cell(low, high, column, matrix, _peaks(matrix, BLOCK)))
-        rest = np.flatnonzero(~in_matrix)
-        rest = rest[np.argsort(dimension[rest], kind="stable")]
-        start = np.concatenate([[0], np.cumsum(np.bincount(dimension[rest], minlength=dimensions))])
-        return cls(len(order), order, start, place[rest], weight[rest], cells, centres, sketch)
+        # Postings in the order of their dimensions, a range of dimensions at a time to spare memory.
+        rest = ~in_matrix
+        places, weights = np.empty(rest.sum(), np.int32), np.empty(rest.sum(), np.float32)
+        start, done = np.zeros(dimensions + 1, np.int64), 0
+        for low in range(0, dimensions, SLAB):
+            some = np.flatnonzero(rest & (dimension >= low) & (dimension < low + SLAB))
+            some = some[np.argsort(dimension[some], kind="stable")]
+            places[done : done + len(some)], weights[done : done + len(some)] = place[some], weight[some]
+            done += len(some)
+            start[low + 1 : low + SLAB + 1] = np.bincount(dimension[some] - low, minlength=min(SLAB, dimensions - low))
+        return cls(len(order), order, np.cumsum(start), places, weights, cells, centres, sketch)
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, best first, ties by example."""
@@ -214,7 +223,9 @@ class BlockMaxIndex:
 
 def _frequent(dimension: np.ndarray, size: int, dimensions: int) -> np.ndarray:
     """Places of the dimensions that more than a `DENSE_SHARE`-th of the examples have, most frequent first, `DENSE` at most; -1 for others."""
-    held = np.bincount(dimension, minlength=dimensions)
+    held = np.zeros(dimensions, np.int64)
+    for at in range(0, len(dimension), 1 << 20):
+        held += np.bincount(dimension[at : at + (1 << 20)], minlength=dimensions)
     common = np.argsort(-held, kind="stable")[:DENSE]
     common = common[held[common] * DENSE_SHARE > size]
     column = np.full(dimensions, -1, np.int16)
@@ -279,17 +290,26 @@ class Learned:
     def __setstate__(self, packed):
         payloads, (kind, held), total, telling = packed
         held = np.frombuffer(zlib.decompress(held), kind)
-        batches = [b for p in payloads for b in pa.ipc.open_stream(p)]
         self.weights = np.log((1 + total) / (1 + held)) + 1
         self.weights[DIMENSIONS:] = TELLING * np.array(telling)
-        self.toxic = np.concatenate([b.column(1).to_numpy() for b in batches]).astype(np.float64)
-        self.ids = np.array([i for b in batches for i in b.column(0).to_pylist()])
-        terms = np.concatenate([np.cumsum(b.column(2).flatten().to_numpy(), dtype=np.int32) for b in batches])
-        counts = np.concatenate([b.column(3).flatten().to_numpy() for b in batches])
-        sizes = np.concatenate([np.diff(b.column(2).offsets.to_numpy()) for b in batches])
-        del batches
-        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes)
-        self.index = BlockMaxIndex.of(example, terms, _unit(example, terms, counts, self.weights, len(self.ids)).astype(np.float32), len(self.ids), len(held))
+        toxic, ids, columns = [], [], ([], [], [])
+        for batch in (b for p in payloads for b in pa.ipc.open_stream(p)):  # one at a time: only what the index takes stays
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            terms = np.cumsum(batch.column(2).flatten().to_numpy(), dtype=np.int32)
+            unit = _unit(row, terms, batch.column(3).flatten().to_numpy(), self.weights, len(sizes))
+            for column, part in zip(columns, (row + np.int32(len(ids)), terms, unit.astype(np.float32)), strict=True):
+                column.append(part)
+            toxic.append(batch.column(1).to_numpy())
+            ids += batch.column(0).to_pylist()
+        self.toxic, self.ids = np.concatenate(toxic).astype(np.float64), np.array(ids)
+        self.index = BlockMaxIndex.of(*(np.concatenate([c.pop(0) for _ in range(len(c))]) for c in columns), len(ids), len(held))
+
+
+    def nearest(self, batch, k: int):
+        """The k nearest examples of each row of a tally."""
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield from self.index.nearest_all(*_vectors(batch.slice(at, ROWS_AT_ONCE), self.weights), k)
 
 
 @dataclass
@@ -358,7 +378,7 @@ class Model:
             return [(self.prior, [], [])] * batch.num_rows
         own = self.held.value
         return [(self.calibrated(self.vote(own.toxic[near], cosines)), own.ids[near].tolist(), cosines.tolist())
-                for near, cosines in own.index.nearest_all(*_vectors(batch, own.weights), NEIGHBOURS)]
+                for near, cosines in own.nearest(batch, NEIGHBOURS)]
 
 
 def _logit(p: float) -> float:
@@ -519,7 +539,7 @@ def fit_and_tally(
         own = model.held.value
         for batch in batches:
             out = []
-            for key, (near, cosines) in zip(batch.column(0).to_pylist(), own.index.nearest_all(*_vectors(batch, own.weights), NEIGHBOURS + 1), strict=True):
+            for key, (near, cosines) in zip(batch.column(0).to_pylist(), own.nearest(batch, NEIGHBOURS + 1), strict=True):
                 others = own.ids[near] != key
                 out.append(model.vote(own.toxic[near[others]][:NEIGHBOURS], cosines[others][:NEIGHBOURS]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(1)], ["vote", "toxic"])
