@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -15,43 +17,56 @@ from pyspark.sql import functions as F
 from hourline.llm.common import discard, partitions, query, stored, table
 
 LENGTH, END = 4096, 1
-TEXTS_AT_ONCE, WORDS_KEPT = 512, 1_200_000
+TEXTS_AT_ONCE, RUNS_KEPT = 512, 1_500_000
 # Texts with the vocabulary's own markers, or with separators that only Python takes for white space.
 WHOLE = re.compile(r"<\|(?:startoftext|endoftext)\|>|[\x1c-\x1f]")
+# Fixed: how the vocabulary divides lower-cased ASCII.
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
-class WordTokenizer:
-    """The ids of a word vocabulary, each distinct run without white space encoded once per worker.
+class WordTokenizer(dict):
+    """The ids of a word vocabulary, by run without white space: each distinct run is encoded once per worker.
 
     The vocabulary drops white space before it looks for words, so no token crosses it and a text's ids are those of its runs in
-    turn. The few texts where that may not hold are encoded as a whole.
+    turn. A run of printable ASCII is put together from its words, digits and signs, which the model itself encodes once each;
+    other runs go through the whole vocabulary, as do the few texts where runs may not stand for themselves.
     """
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        whole = [WHOLE.search(t) is not None for t in texts]
-        split = [[] if w else (t.lower() if t.isascii() else t).split() for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        for word, found in zip(new, self.whole.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = _packed(found.ids)
-        get = self.known.__getitem__
-        return [
-            _packed(self.whole.encode(t, add_special_tokens=False).ids) if w else b"".join(map(get, words))
-            for t, w, words in zip(texts, whole, split, strict=True)
-        ]
+        self.model = self.whole.model
+        self.words: dict[str, bytes] = {}
+
+    def __missing__(self, run: str) -> bytes:
+        if not (run.isascii() and run.isprintable()):
+            self[run] = found = self._all(run)
+            return found
+        get, parts = self.words.get, []
+        for word in WORD.findall(run.lower()):
+            if (found := get(word)) is None:
+                self.words[word] = found = _packed([token.id for token in self.model.tokenize(word)])
+            parts.append(found)
+        self[run] = found = b"".join(parts)
+        return found
+
+    def _all(self, text: str) -> bytes:
+        return _packed(self.whole.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit numbers."""
+        if WHOLE.search(text):
+            return self._all(text)
+        if len(self) + len(self.words) > RUNS_KEPT:
+            self.clear(), self.words.clear()
+        return b"".join(map(self.__getitem__, (text.lower() if text.isascii() else text).split()))
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -71,8 +86,8 @@ def pieces(df: DataFrame, path: str, length: int = LENGTH, end: int = END, key:
             for at in range(0, len(batch), TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 row, piece, size, crc, ids = [], [], [], [], []
-                for i, found in enumerate(encode([t or "" for t in part.column(1).to_pylist()])):
-                    found += ending
+                for i, t in enumerate(part.column(1).to_pylist()):
+                    found = encode(t or "") + ending
                     for n, start in enumerate(range(0, len(found), 4 * length)):
                         own = found[start : start + 4 * length]
                         row.append(i), piece.append(n), size.append(len(own) // 4), crc.append(zlib.crc32(own))
