@@ -30,7 +30,7 @@ MIN_G2, MIN_ODDS = 25.0, 1.5  # evidence and log odds for toxic above which a te
 TELLING = 8.0  # weight of a telling term per unit of log odds, where a word weighs its inverse document frequency
 NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
 # Dimensions that more than a fiftieth of a cell's examples have are held as its matrix, at most so many.
-DENSE, DENSE_SHARE = 512, 50
+DENSE, DENSE_SHARE = 192, 50
 CELLS, CELL_ROUNDS = 8, 5  # cells of similar examples, and rounds of k-means that find them
 BLOCK = 64  # examples whose largest weights bound them
 SLAB = 1 << 15  # dimensions whose postings are put in order at a time
@@ -110,9 +110,12 @@ class BlockMaxIndex:
     @classmethod
     def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> BlockMaxIndex:
         sketch = _frequent(dimension, size, dimensions)
-        there = np.flatnonzero(sketch[dimension] >= 0)
         dense = np.zeros((sketch.max(initial=-1) + 1, size), np.float32)
-        dense[sketch[dimension[there]], example[there]] = weight[there]
+        for low in range(0, len(dimension), 1 << 20):
+            span = slice(low, low + (1 << 20))
+            row = sketch[dimension[span]]
+            there = np.flatnonzero(row >= 0)
+            dense[row[there], example[span][there]] = weight[span][there]
         centres, own = _cells(dense)
         del dense
         held = np.bincount(own, minlength=centres.shape[1])
@@ -122,7 +125,7 @@ class BlockMaxIndex:
         at[by_cell] = np.arange(size) + np.repeat(bounds[:-1] - np.cumsum(held) + held, held)
         order = np.full(bounds[-1], -1, np.int32)
         order[at] = np.arange(size, dtype=np.int32)
-        place = at[example]
+        place = np.take(at, example, out=example, mode="clip")  # in the same memory
         in_matrix = np.zeros(len(place), bool)
         cells = []
         for low, high, n in zip(bounds[:-1].tolist(), bounds[1:].tolist(), held.tolist(), strict=True):
@@ -175,8 +178,7 @@ class BlockMaxIndex:
         spans = [slice(b, e) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]  # copied whole, not gathered
         if not spans:
             return np.zeros(self.size)
-        scaled = np.concatenate([self.weight[s] for s in spans])
-        scaled *= np.repeat(values[some].astype(np.float32), end - begin)
+        scaled = np.concatenate([self.weight[s] for s in spans]) * np.repeat(values[some], end - begin)
         return np.bincount(np.concatenate([self.place[s] for s in spans]), scaled, self.size)
 
     def _group(self, group: np.ndarray, home: int, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
@@ -205,7 +207,7 @@ class BlockMaxIndex:
             else:
                 columns = np.flatnonzero(np.repeat(open_, BLOCK))
                 total = part[:, columns] + asked @ cell.matrix[:, columns]
-            tops = _peaks(total, STRIDE)
+            tops = _strided(total)
             if tops.shape[1] > k:  # k of these are k examples
                 least = np.maximum(least, np.partition(tops, tops.shape[1] - k, axis=1)[:, -k])
             for j, (bar, peak) in enumerate(zip((least - SINGLE).tolist(), tops.max(axis=1).tolist(), strict=True)):
@@ -238,6 +240,11 @@ def _peaks(rows: np.ndarray, length: int) -> np.ndarray:
     return rows.reshape(len(rows), rows.shape[1] // length, length).max(axis=2)
 
 
+def _strided(rows: np.ndarray) -> np.ndarray:
+    """The largest of STRIDE columns each, far apart, so that whole stretches are compared at once."""
+    return rows.reshape(len(rows), STRIDE, rows.shape[1] // STRIDE).max(axis=1)
+
+
 def _matrix(row: np.ndarray, place: np.ndarray, values: np.ndarray, rows: int, places: int) -> np.ndarray:
     """(row, place) of the values that have a place."""
     there = place >= 0
@@ -261,7 +268,7 @@ def _cells(dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed(batches):
-    """Rows (order, payload): each batch of examples, its sorted dimensions as steps, compressed."""
+    """Rows (order, size, payload): each batch of examples, its sorted dimensions, `size` in all, as steps, compressed."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -273,7 +280,8 @@ def _packed(batches):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_batch(own)
-        yield pa.RecordBatch.from_arrays([batch.column(0)[:1], pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["order", "payload"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0)[:1], pa.array([len(steps)], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["order", "size", "payload"])
 
 
 class Learned:
@@ -281,7 +289,7 @@ class Learned:
     shipped as the packed batches that tasks made, a few bytes a word, and unpacked once per worker: the driver hands
     them on and never unpacks one."""
 
-    def __init__(self, batches: list[bytes], held: np.ndarray, total: int, telling: list[float]):
+    def __init__(self, batches: list[tuple[int, bytes]], held: np.ndarray, total: int, telling: list[float]):
         self.packed = batches, (held.dtype.str, zlib.compress(np.ascontiguousarray(held), 1)), total, telling
 
     def __getstate__(self):
@@ -292,19 +300,21 @@ class Learned:
         held = np.frombuffer(zlib.decompress(held), kind)
         self.weights = np.log((1 + total) / (1 + held)) + 1
         self.weights[DIMENSIONS:] = TELLING * np.array(telling)
-        toxic, ids, columns = [], [], ([], [], [])
-        for batch in (b for p in payloads for b in pa.ipc.open_stream(p)):  # one at a time: only what the index takes stays
-            sizes = np.diff(batch.column(2).offsets.to_numpy())
-            row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-            terms = np.cumsum(batch.column(2).flatten().to_numpy(), dtype=np.int32)
-            unit = _unit(row, terms, batch.column(3).flatten().to_numpy(), self.weights, len(sizes))
-            for column, part in zip(columns, (row + np.int32(len(ids)), terms, unit.astype(np.float32)), strict=True):
-                column.append(part)
-            toxic.append(batch.column(1).to_numpy())
-            ids += batch.column(0).to_pylist()
-        self.toxic, self.ids = np.concatenate(toxic).astype(np.float64), np.array(ids)
-        self.index = BlockMaxIndex.of(*(np.concatenate([c.pop(0) for _ in range(len(c))]) for c in columns), len(ids), len(held))
-
+        toxic, ids, at, size = [], [], 0, sum(n for n, _ in payloads)
+        example, dimension, weight = np.empty(size, np.int32), np.empty(size, np.int32), np.empty(size, np.float32)
+        payloads.reverse()
+        while payloads:  # one at a time: only what the index takes stays
+            for batch in pa.ipc.open_stream(payloads.pop()[1]):
+                sizes = np.diff(batch.column(2).offsets.to_numpy())
+                row, span = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), slice(at, at + int(sizes.sum()))
+                np.cumsum(batch.column(2).flatten().to_numpy(), out=dimension[span])
+                weight[span] = _unit(row, dimension[span], batch.column(3).flatten().to_numpy(), self.weights, len(sizes))
+                np.add(row, np.int32(len(ids)), out=example[span])
+                toxic.append(np.array(batch.column(1).to_numpy(), np.float64))
+                ids += batch.column(0).to_pylist()
+                at = span.stop
+        self.toxic, self.ids = np.concatenate(toxic), np.array(ids)
+        self.index = BlockMaxIndex.of(example, dimension, weight, len(ids), len(held))
 
     def nearest(self, batch, k: int):
         """The k nearest examples of each row of a tally."""
@@ -532,7 +542,7 @@ def fit_and_tally(
     # All examples, in an order that does not know the label.
     ordered = examples.select(F.xxhash64(F.lit("order"), "__id").alias("__order"), "*").orderBy("__order", "__id")
     model.text_ids = not isinstance(examples.schema["__id"].dataType, T.IntegralType)
-    payloads = [bytes(r["payload"]) for r in ordered.mapInArrow(_packed, "order long, payload binary").orderBy("order").toLocalIterator()]
+    payloads = [(r["size"], bytes(r["payload"])) for r in ordered.mapInArrow(_packed, "order long, size long, payload binary").orderBy("order").toLocalIterator()]
     model.held = spark.sparkContext.broadcast(Learned(payloads, held, total, list(odds.values())))
 
     def votes(batches):
