@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourline.llm.common import partitions, query, stored, table
@@ -181,7 +182,8 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     row's, how alike the sketches are, and how many paragraphs differ.
 
     The next row is the next by key (NULL last, then by a hash of the text); the last row's next is the first. Rows are dealt to
-    parts by ranges of the key, each with the first row of the following part, so every text moves once or twice. NULL text counts as
+    parts by ranges of the key, each row by a search among the parts' first rows (as many as shuffle partitions), and each part
+    gets the first row of the following one too, so every text moves once or twice. NULL text counts as
     empty; two texts without paragraphs are alike (1). Equal texts have equal fingerprints. An empty table gives no rows.
     """
     spark = df.sparkSession
@@ -196,15 +198,19 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     out = f"doc {kind}, n_chars long, text_sha256 string, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, paragraphs long, changed long"
     if not firsts:
         return docs.select("doc").mapInArrow(lambda b: iter(()), out).withColumnRenamed("doc", key)
-    bounds = spark.createDataFrame([(i, *f) for i, f in enumerate(firsts)], f"part int, none boolean, doc {kind}, stamp long")
-    at = Window.orderBy("part")
-    bounds = bounds.select("part", F.struct(*order).alias("low"), F.lead(F.struct(*order)).over(at).alias("high"))
-    row = F.struct(*order)
-    # One row per part: as many as there are shuffle partitions.
-    dealt = docs.join(F.broadcast(bounds), (row >= F.col("low")) & (F.col("high").isNull() | (row < F.col("high"))), "inner")
-    starts = row == F.col("low")
+    firsts = [tuple(f) for f in firsts]
+
+    def deal(batches):
+        for batch in batches:
+            keys = [*zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
+            part = [max(0, bisect_right(firsts, k) - 1) for k in keys]
+            starts = [k == firsts[p] for k, p in zip(keys, part, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(part, pa.int32()), pa.array(starts, pa.bool_())], [*order, "text", "part", "starts"])
+
+    dealt = docs.select(*order, "text").mapInArrow(deal, f"none boolean, doc {kind}, stamp long, text string, part int, starts boolean")
     before = F.when(F.col("part") == 0, len(firsts) - 1).otherwise(F.col("part") - 1)
-    copies = F.when(starts, F.array(F.struct("part", F.lit(False).alias("guard")), F.struct(before.alias("part"), F.lit(True).alias("guard")))).otherwise(
+    copies = F.when(F.col("starts"), F.array(F.struct("part", F.lit(False).alias("guard")), F.struct(before.alias("part"), F.lit(True).alias("guard")))).otherwise(
         F.array(F.struct("part", F.lit(False).alias("guard"))))
     dealt = dealt.withColumn("__copy", F.explode(copies)).select(
         "__copy.part", "__copy.guard", *order, "text")
