@@ -39,9 +39,11 @@ def interleave(
     )
 
 
-def write_shards(df: DataFrame, path: str, shards: int, **options: str) -> None:
-    """The interleaved rows as one folder per shard, each file sorted by slot."""
-    interleave(df, shards, **options).repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy(
+def write_shards(df: DataFrame, path: str, shards: int, rows_per_file: int = 1_000_000, **options: str) -> None:
+    """The interleaved rows as one folder per shard; each file holds about `rows_per_file` consecutive slots, sorted,
+    so that no task writes a whole shard. An empty table gives an empty folder."""
+    slots = F.expr(f"slot div {rows_per_file}")
+    interleave(df, shards, **options).repartition("shard", slots).sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard"
     ).parquet(path)
 
