@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourline.llm.common import keep_rows, partitions, query, stored, table
+from hourline.llm.common import discard, keep_rows, partitions, query, stored, table
 
 LEAST_BUCKETS = 64
 DIGESTS_PER_BUCKET = 2_000_000  # about 150 MB, sorted by one task
@@ -78,6 +78,8 @@ class DigestIndex:
     def drop(self) -> None:
         for name in (self.name, f"{self.name}__next"):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if "." not in name:  # what a session that died with its catalog left of a table of this name
+                discard(self.spark, f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{name}")
 
 
 def admit(df: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
