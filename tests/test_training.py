@@ -48,6 +48,19 @@ def test_early_stopping_keeps_a_prefix_of_the_trees(features):
     assert rounds == ml.best_round(curve, 4)
 
 
+def test_a_fit_that_still_improves_is_made_anew_once(features, monkeypatch):
+    rows = splits.holdout_split(ml.model_frame(features, 24, INPUTS))
+    train, val = (rows.filter(F.col("split") == s) for s in ("train", "val"))
+    params = {**ml.DEFAULT_PARAMS, **SMALL, "stepSize": 0.02, "maxDepth": 2, "maxIter": 20}
+    full = ml._gbt(params, INPUTS).fit(train)
+    curve = full.stages[-1].evaluateEachIteration(full.stages[0].transform(val), "squared")
+    fitted, fit = [], ml._gbt
+    monkeypatch.setattr(ml, "_gbt", lambda p, c: fitted.append(p["maxIter"]) or fit(p, c))
+    model, rounds = ml.fit_early_stopped(train, val, params, INPUTS, 2)
+    assert rounds == ml.best_round(curve, 2) > 12 and fitted == [3, 20]  # doubled: 3, 6, 12, 20
+    assert model.stages[-1].getNumTrees == rounds
+
+
 def test_trained_trees_are_scored_on_the_test_days(trained):
     assert trained.n_test == 120 and 1 <= trained.best_round <= 12
     # The series repeats every day, so the naive forecast is exact and the trees come close.
