@@ -33,7 +33,8 @@ NEIGHBOURS, PRIOR_WEIGHT = 16, 0.5
 DENSE, DENSE_SHARE = 192, 50
 CELLS, CELL_ROUNDS = 8, 5  # cells of similar examples, and rounds of k-means that find them
 BLOCK = 64  # examples whose largest weights bound them
-SLAB = 1 << 15  # dimensions whose postings are put in order at a time
+UNPACKED = 512  # examples whose weights are worked out at a time
+SLAB = 1 << 18  # postings put in order at a time
 STRIDE = 8  # examples whose best stands for them while a bar for the k-th best is sought
 SINGLE = 1e-5  # error of sums in single precision, at most
 TOGETHER = 64  # texts compared with all examples at a time
@@ -67,7 +68,8 @@ def chunks(text: str | None) -> list[bytes]:
 
 
 def words_of(chunk: bytes) -> list[str]:
-    return WORD.findall(chunk.decode("utf-8", "surrogatepass"))
+    word = chunk.decode("utf-8", "surrogatepass")
+    return [word] if word.isalnum() else WORD.findall(word)
 
 
 @dataclass
@@ -93,8 +95,7 @@ class BlockMaxIndex:
     size: int  # places
     order: np.ndarray  # the example at each place of the index; places that only fill a block have none (-1) and no weights
     start: np.ndarray  # first posting of a dimension
-    place: np.ndarray
-    weight: np.ndarray
+    postings: np.ndarray  # (place, bits of the weight) side by side, as one number each: a dimension's are copied at once
     cells: list[Cell]
     centres: np.ndarray  # (dimension of the sketch, cell)
     sketch: np.ndarray  # place of a dimension in the sketch, or -1
@@ -104,7 +105,7 @@ class BlockMaxIndex:
     @classmethod
     def build(cls, rows: list[dict[int, float]], dimensions: int) -> BlockMaxIndex:
         return cls.of(
-            np.array([i for i, r in enumerate(rows) for _ in r], np.int32), np.array([t for r in rows for t in r], np.int32),
+            np.array([i for i, r in enumerate(rows) for _ in r], _places(len(rows))), np.array([t for r in rows for t in r], np.int32),
             np.array([w for r in rows for w in r.values()], np.float32), len(rows), dimensions)
 
     @classmethod
@@ -121,7 +122,7 @@ class BlockMaxIndex:
         held = np.bincount(own, minlength=centres.shape[1])
         bounds = np.concatenate([[0], np.cumsum(-(-held // BLOCK) * BLOCK)])
         by_cell = np.argsort(own, kind="stable")
-        at = np.empty(size, np.int32)
+        at = np.empty(size, example.dtype)
         at[by_cell] = np.arange(size) + np.repeat(bounds[:-1] - np.cumsum(held) + held, held)
         order = np.full(bounds[-1], -1, np.int32)
         order[at] = np.arange(size, dtype=np.int32)
@@ -136,17 +137,25 @@ class BlockMaxIndex:
             matrix = np.zeros((column.max(initial=-1) + 1, high - low), np.float32)
             matrix[column[dimension[there]], place[there] - low] = weight[there]
             cells.append(Cell(low, high, column, matrix, _peaks(matrix, BLOCK)))
-        # Postings in the order of their dimensions, a range of dimensions at a time to spare memory.
-        rest = ~in_matrix
-        places, weights = np.empty(rest.sum(), np.int32), np.empty(rest.sum(), np.float32)
-        start, done = np.zeros(dimensions + 1, np.int64), 0
-        for low in range(0, dimensions, SLAB):
-            some = np.flatnonzero(rest & (dimension >= low) & (dimension < low + SLAB))
-            some = some[np.argsort(dimension[some], kind="stable")]
-            places[done : done + len(some)], weights[done : done + len(some)] = place[some], weight[some]
-            done += len(some)
-            start[low + 1 : low + SLAB + 1] = np.bincount(dimension[some] - low, minlength=min(SLAB, dimensions - low))
-        return cls(len(order), order, np.cumsum(start), places, weights, cells, centres, sketch)
+        # Postings in the order of their dimensions and examples, put there a slab at a time to spare memory.
+        rest = np.logical_not(in_matrix, out=in_matrix)
+        slabs = [slice(low, low + SLAB) for low in range(0, len(place), SLAB)]
+        start = np.zeros(dimensions + 1, np.int64)
+        for slab in slabs:
+            start[1:] += np.bincount(dimension[slab][rest[slab]], minlength=dimensions)
+        start = np.cumsum(start)
+        postings, free = np.empty(start[-1], np.int64), start[:-1].copy()
+        places, weights = postings.view(np.int32)[::2], postings.view(np.float32)[1::2]
+        for slab in slabs:
+            some = np.flatnonzero(rest[slab])
+            some = some[np.argsort(dimension[slab][some], kind="stable")]
+            own = dimension[slab][some]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            lengths = np.diff(first, append=len(own))
+            to = free[own] + np.arange(len(own)) - np.repeat(first, lengths)
+            places[to], weights[to] = place[slab][some], weight[slab][some]
+            free[own[first]] += lengths
+        return cls(len(order), order, start, postings, cells, centres, sketch)
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, best first, ties by example."""
@@ -171,20 +180,26 @@ class BlockMaxIndex:
                     out[i] = found
         return out
 
-    def _postings(self, ids: np.ndarray, values: np.ndarray) -> np.ndarray:
+    def _sums(self, ids: np.ndarray, values: np.ndarray, room: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """The postings' sums for every place; `room` has three rows of numbers, as long as the postings of the longest text."""
         begin, end = self.start[ids], self.start[ids + 1]
         some = np.flatnonzero(end > begin)
         begin, end = begin[some], end[some]
-        spans = [slice(b, e) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]  # copied whole, not gathered
-        if not spans:
+        if not len(some):
             return np.zeros(self.size)
-        scaled = np.concatenate([self.weight[s] for s in spans]) * np.repeat(values[some], end - begin)
-        return np.bincount(np.concatenate([self.place[s] for s in spans]), scaled, self.size)
+        both, places, scaled = (r[: int((end - begin).sum())] for r in room)
+        np.concatenate([self.postings[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)], out=both)  # copied whole, not gathered
+        places[:] = both.view(np.int32)[::2]
+        np.multiply(both.view(np.float32)[1::2], np.repeat(values[some], end - begin), out=scaled)
+        return np.bincount(places, scaled, self.size)
 
     def _group(self, group: np.ndarray, home: int, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
         sums = np.empty((len(group), self.size), np.float32)
-        for j, i in enumerate(group.tolist()):
-            sums[j] = self._postings(ids[at[i] : at[i + 1]], values[at[i] : at[i + 1]])
+        spans = [slice(at[i], at[i + 1]) for i in group.tolist()]
+        longest = max(int((self.start[ids[s] + 1] - self.start[ids[s]]).sum()) for s in spans)
+        room = np.empty(longest, np.int64), np.empty(longest, np.int64), np.empty(longest)
+        for j, s in enumerate(spans):
+            sums[j] = self._sums(ids[s], values[s], room)
         own = np.concatenate([np.arange(at[i], at[i + 1]) for i in group])
         row, ids, values = np.repeat(np.arange(len(group)), np.diff(at)[group]), ids[own], values[own]
         least = np.full(len(group), SINGLE)
@@ -200,13 +215,16 @@ class BlockMaxIndex:
             self.opened += int(open_.sum())
             if not open_.any():
                 continue
-            # Columns of the opened blocks, or the whole matrix as it lies if they are most of it.
+            # Rows of the dimensions asked for, and columns of the opened blocks; the matrix as it lies where they are most of it.
+            used = np.flatnonzero(asked.any(axis=0))
+            few = 4 * len(used) < 3 * len(cell.matrix)
+            own, rows = (asked[:, used], cell.matrix[used]) if few else (asked, cell.matrix)
             if open_.mean() > 0.5:
-                columns, total = np.arange(cell.high - cell.low), asked @ cell.matrix
+                columns, total = np.arange(cell.high - cell.low), own @ rows
                 total += part
             else:
                 columns = np.flatnonzero(np.repeat(open_, BLOCK))
-                total = part[:, columns] + asked @ cell.matrix[:, columns]
+                total = part[:, columns] + own @ rows[:, columns]
             tops = _strided(total)
             if tops.shape[1] > k:  # k of these are k examples
                 least = np.maximum(least, np.partition(tops, tops.shape[1] - k, axis=1)[:, -k])
@@ -223,6 +241,11 @@ class BlockMaxIndex:
             yield examples[first], cosines[first]
 
 
+def _places(examples: int) -> type:
+    """The shortest whole numbers for the places of so many examples in cells of whole blocks."""
+    return np.uint16 if examples + CELLS * BLOCK < 1 << 16 else np.int32
+
+
 def _frequent(dimension: np.ndarray, size: int, dimensions: int) -> np.ndarray:
     """Places of the dimensions that more than a `DENSE_SHARE`-th of the examples have, most frequent first, `DENSE` at most; -1 for others."""
     held = np.zeros(dimensions, np.int64)
@@ -300,19 +323,26 @@ class Learned:
         held = np.frombuffer(zlib.decompress(held), kind)
         self.weights = np.log((1 + total) / (1 + held)) + 1
         self.weights[DIMENSIONS:] = TELLING * np.array(telling)
-        toxic, ids, at, size = [], [], 0, sum(n for n, _ in payloads)
-        example, dimension, weight = np.empty(size, np.int32), np.empty(size, np.int32), np.empty(size, np.float32)
+        toxic, ids, lengths, at, size = [], [], [], 0, sum(n for n, _ in payloads)
+        dimension, weight = np.empty(size, np.int32), np.empty(size, np.float32)
         payloads.reverse()
         while payloads:  # one at a time: only what the index takes stays
             for batch in pa.ipc.open_stream(payloads.pop()[1]):
-                sizes = np.diff(batch.column(2).offsets.to_numpy())
-                row, span = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), slice(at, at + int(sizes.sum()))
-                np.cumsum(batch.column(2).flatten().to_numpy(), out=dimension[span])
-                weight[span] = _unit(row, dimension[span], batch.column(3).flatten().to_numpy(), self.weights, len(sizes))
-                np.add(row, np.int32(len(ids)), out=example[span])
+                last = np.int32(0)
+                for low in range(0, batch.num_rows, UNPACKED):
+                    few = batch.slice(low, UNPACKED)
+                    steps, counts = few.column(2), few.column(3)
+                    sizes = np.diff(steps.offsets.to_numpy())
+                    row, span = np.repeat(np.arange(len(sizes)), sizes), slice(at, at + int(sizes.sum()))
+                    np.cumsum(steps.flatten().to_numpy(), out=dimension[span])
+                    dimension[span] += last  # steps go on through the whole batch
+                    last = dimension[span.stop - 1] if at < span.stop else last
+                    weight[span] = _unit(row, dimension[span], counts.flatten().to_numpy(), self.weights, len(sizes))
+                    lengths.append(sizes)
+                    at = span.stop
                 toxic.append(np.array(batch.column(1).to_numpy(), np.float64))
                 ids += batch.column(0).to_pylist()
-                at = span.stop
+        example = np.repeat(np.arange(len(ids), dtype=_places(len(ids))), np.concatenate(lengths))
         self.toxic, self.ids = np.concatenate(toxic), np.array(ids)
         self.index = BlockMaxIndex.of(example, dimension, weight, len(ids), len(held))
 
@@ -339,10 +369,13 @@ class Model:
     def places(self, chunk: bytes) -> int | tuple[int, ...]:
         """Dimensions of the chunk's words: a hashed one for each piece, and those of the telling terms it holds. A single one is a number."""
         if (known := self._words.get(chunk)) is None:
-            parts = [p for w in words_of(chunk) for p in pieces(w)]
-            known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
-                     *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
-            known = known[0] if len(known) == 1 else known
+            if len(chunk) <= LONG_RUN and chunk.isascii() and chunk[:HEAD].decode() not in self.heads:
+                known = zlib.crc32(chunk) % DIMENSIONS  # a single word, as most are
+            else:
+                parts = [p for w in words_of(chunk) for p in pieces(w)]
+                known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
+                         *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
+                known = known[0] if len(known) == 1 else known
             if len(self._words) > WORDS_KEPT:
                 self._words.clear()
             self._words[chunk] = known

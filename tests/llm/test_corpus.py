@@ -265,6 +265,25 @@ def test_nearest_examples_are_exact():
     assert same.nearest(rows[0], 10)[0].tolist() == list(range(10))
 
 
+def test_an_index_is_built_in_little_memory():
+    """Beside what it keeps, a few bytes for each word of the examples: the workers of an executor build theirs at the same time."""
+    import tracemalloc
+
+    def taken(size: int, words: int = 100, dimensions: int = 20_000) -> int:
+        draw = np.random.default_rng(1)
+        example = np.repeat(np.arange(size), words).astype(np.int32)
+        dimension = np.sort(draw.integers(0, dimensions, (size, words)).astype(np.int32)).ravel()
+        weight = draw.random(size * words, np.float32)
+        tracemalloc.start()
+        index = toxicity.BlockMaxIndex.of(example, dimension, weight, size, dimensions)
+        kept, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert len(index.order) >= size
+        return peak - kept
+
+    assert taken(40_000) - taken(10_000) < 15 * 3_000_000  # 34 bytes a word where all of them were masked at once
+
+
 def test_words_are_found_in_chunks():
     model = toxicity.Model({})
     texts = ["A,b_c  d'e\u00a0f\u2014g 1.2", "\ud800 x", "", None, "\u00c4\u00d6-\u00fc \u4f60\u597d", LONG]
