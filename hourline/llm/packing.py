@@ -17,19 +17,23 @@ from pyspark.sql import functions as F
 from hourline.llm.common import discard, partitions, query, stored, table
 
 LENGTH, END = 4096, 1
-TEXTS_AT_ONCE, RUNS_KEPT = 512, 1_500_000
+TEXTS_AT_ONCE, RUNS_KEPT = 512, 1_700_000
 # Texts with the vocabulary's own markers, or with separators that only Python takes for white space.
-WHOLE = re.compile(r"<\|(?:startoftext|endoftext)\|>|[\x1c-\x1f]")
-# Fixed: how the vocabulary divides lower-cased ASCII.
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+WHOLE = ("<|startoftext|>", "<|endoftext|>", "\x1c", "\x1d", "\x1e", "\x1f")
+# Runs whose letters are those of ASCII and Latin-1, in small or capitals: composed already, and each lower-cased to one of them.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
+# Fixed: how the vocabulary divides such runs in lower case.
+WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+# Fixed: the characters that stand for the bytes of those letters in the vocabulary, printable ones for themselves.
+BYTES = {n: "".join(chr(0x143 if b == 0xad else b if b > 0xa0 else b + 0xa2) for b in chr(n).encode()) for n in range(0xdf, 0x100)}
 
 
 class WordTokenizer(dict):
     """The ids of a word vocabulary, by run without white space: each distinct run is encoded once per worker.
 
     The vocabulary drops white space before it looks for words, so no token crosses it and a text's ids are those of its runs in
-    turn. A run of printable ASCII is put together from its words, digits and signs, which the model itself encodes once each;
-    other runs go through the whole vocabulary, as do the few texts where runs may not stand for themselves.
+    turn. A run of printable ASCII and letters of Latin-1 is put together from its words, digits and signs, which the model itself
+    encodes once each; other runs go through the whole vocabulary, as do the few texts where runs may not stand for themselves.
     """
 
     def __init__(self, path: str) -> None:
@@ -42,15 +46,21 @@ class WordTokenizer(dict):
         self.words: dict[str, bytes] = {}
 
     def __missing__(self, run: str) -> bytes:
-        if not (run.isascii() and run.isprintable()):
-            self[run] = found = self._all(run)
-            return found
-        get, parts = self.words.get, []
-        for word in WORD.findall(run.lower()):
-            if (found := get(word)) is None:
-                self.words[word] = found = _packed([token.id for token in self.model.tokenize(word)])
-            parts.append(found)
-        self[run] = found = b"".join(parts)
+        if run.isalpha() and (run.isascii() or PLAIN(run)):
+            found = self._word(run.lower())
+        elif (run.isascii() and run.isprintable()) or PLAIN(run):
+            get, parts = self.words.get, []
+            for word in WORD.findall(run.lower()):
+                parts.append(get(word) or self._word(word))
+            found = b"".join(parts)
+        else:
+            found = self._all(run)
+        self[run] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if (found := self.words.get(word)) is None:
+            self.words[word] = found = _packed([token.id for token in self.model.tokenize(word if word.isascii() else word.translate(BYTES))])
         return found
 
     def _all(self, text: str) -> bytes:
@@ -58,7 +68,7 @@ class WordTokenizer(dict):
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
-        if WHOLE.search(text):
+        if any(mark in text for mark in WHOLE):
             return self._all(text)
         if len(self) + len(self.words) > RUNS_KEPT:
             self.clear(), self.words.clear()
