@@ -7,6 +7,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -39,6 +40,8 @@ STRIDE = 8  # examples whose best stands for them while a bar for the k-th best
 SINGLE = 1e-5  # error of sums in single precision, at most
 TOGETHER = 64  # texts compared with all examples at a time
 ROWS_AT_ONCE = 2048  # rows of a batch whose vectors are in memory at a time
+COUNTED = 256  # texts whose terms are counted at a time
+LEVELS = 1 + np.log(np.maximum(np.arange(1 << 12), 1))  # of counts
 WORDS_KEPT = 300_000  # words whose dimensions a worker remembers
 
 
@@ -94,8 +97,11 @@ class BlockMaxIndex:
 
     size: int  # places
     order: np.ndarray  # the example at each place of the index; places that only fill a block have none (-1) and no weights
-    start: np.ndarray  # first posting of a dimension
-    postings: np.ndarray  # (place, bits of the weight) side by side, as one number each: a dimension's are copied at once
+    scale: np.ndarray  # what the weights of the example at each place are multiplied by
+    runs: np.ndarray  # first run of a dimension: its postings of equal weight are a run, and have that weight once
+    start: np.ndarray  # first posting of a run
+    weight: np.ndarray  # weight of a run
+    postings: np.ndarray  # places
     cells: list[Cell]
     centres: np.ndarray  # (dimension of the sketch, cell)
     sketch: np.ndarray  # place of a dimension in the sketch, or -1
@@ -110,52 +116,61 @@ class BlockMaxIndex:
 
     @classmethod
     def of(cls, example: np.ndarray, dimension: np.ndarray, weight: np.ndarray, size: int, dimensions: int) -> BlockMaxIndex:
-        sketch = _frequent(dimension, size, dimensions)
+        spans = [slice(low, low + SLAB) for low in range(0, len(dimension), SLAB)]
+        held = sum((np.bincount(dimension[s], minlength=dimensions) for s in spans), np.zeros(dimensions, np.int64))
+        return cls.made(lambda: ((example[s], dimension[s], weight[s]) for s in spans), np.ones(size), held)
+
+    @classmethod
+    def made(cls, parts: Callable[[], Iterator[tuple]], scale: np.ndarray, held: np.ndarray) -> BlockMaxIndex:
+        """Of the (examples, dimensions, weights over 0) that `parts` gives, in the same order each time it is asked: it is asked again
+        for each pass, so that they are never in memory at once. An example's weights are multiplied by its `scale`; `held` says
+        how many examples have a dimension."""
+        size, dimensions = len(scale), len(held)
+        sketch = _frequent(held, size)
         dense = np.zeros((sketch.max(initial=-1) + 1, size), np.float32)
-        for low in range(0, len(dimension), 1 << 20):
-            span = slice(low, low + (1 << 20))
-            row = sketch[dimension[span]]
+        for example, dimension, weight in parts():
+            row = sketch[dimension]
             there = np.flatnonzero(row >= 0)
-            dense[row[there], example[span][there]] = weight[span][there]
+            dense[row[there], example[there]] = weight[there] * scale[example[there]]
         centres, own = _cells(dense)
         del dense
-        held = np.bincount(own, minlength=centres.shape[1])
-        bounds = np.concatenate([[0], np.cumsum(-(-held // BLOCK) * BLOCK)])
+        filled = np.bincount(own, minlength=centres.shape[1])
+        bounds = np.concatenate([[0], np.cumsum(-(-filled // BLOCK) * BLOCK)])
         by_cell = np.argsort(own, kind="stable")
-        at = np.empty(size, example.dtype)
-        at[by_cell] = np.arange(size) + np.repeat(bounds[:-1] - np.cumsum(held) + held, held)
+        at = np.empty(size, _places(size))
+        at[by_cell] = np.arange(size) + np.repeat(bounds[:-1] - np.cumsum(filled) + filled, filled)
         order = np.full(bounds[-1], -1, np.int32)
         order[at] = np.arange(size, dtype=np.int32)
-        place = np.take(at, example, out=example, mode="clip")  # in the same memory
-        in_matrix = np.zeros(len(place), bool)
-        cells = []
-        for low, high, n in zip(bounds[:-1].tolist(), bounds[1:].tolist(), held.tolist(), strict=True):
-            inside = np.flatnonzero((place >= low) & (place < high))
-            column = _frequent(dimension[inside], n, dimensions)
-            there = inside[column[dimension[inside]] >= 0]
-            in_matrix[there] = True
-            matrix = np.zeros((column.max(initial=-1) + 1, high - low), np.float32)
-            matrix[column[dimension[there]], place[there] - low] = weight[there]
-            cells.append(Cell(low, high, column, matrix, _peaks(matrix, BLOCK)))
-        # Postings in the order of their dimensions and examples, put there a slab at a time to spare memory.
-        rest = np.logical_not(in_matrix, out=in_matrix)
-        slabs = [slice(low, low + SLAB) for low in range(0, len(place), SLAB)]
-        start = np.zeros(dimensions + 1, np.int64)
-        for slab in slabs:
-            start[1:] += np.bincount(dimension[slab][rest[slab]], minlength=dimensions)
-        start = np.cumsum(start)
-        postings, free = np.empty(start[-1], np.int64), start[:-1].copy()
-        places, weights = postings.view(np.int32)[::2], postings.view(np.float32)[1::2]
-        for slab in slabs:
-            some = np.flatnonzero(rest[slab])
-            some = some[np.argsort(dimension[slab][some], kind="stable")]
-            own = dimension[slab][some]
-            first = np.flatnonzero(np.diff(own, prepend=-1))
-            lengths = np.diff(first, append=len(own))
-            to = free[own] + np.arange(len(own)) - np.repeat(first, lengths)
-            places[to], weights[to] = place[slab][some], weight[slab][some]
-            free[own[first]] += lengths
-        return cls(len(order), order, start, postings, cells, centres, sketch)
+        # In how many examples of a cell a dimension is says which ones its matrix holds.
+        held = np.zeros((len(filled), dimensions), np.int32)
+        for example, dimension, _ in parts():
+            np.add.at(held.reshape(-1), own[example] * dimensions + dimension, np.int32(1))
+        columns = np.stack([_frequent(h, n) for h, n in zip(held, filled.tolist(), strict=True)])
+        matrices = [np.zeros((c.max(initial=-1) + 1, high - low), np.float32) for c, low, high in zip(columns, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        held[columns >= 0] = 0
+        ends = np.concatenate([[0], np.cumsum(held.sum(axis=0))])
+        del held
+        postings, weights, free = np.empty(ends[-1], at.dtype), np.empty(ends[-1], np.float32), ends[:-1].copy()
+        for example, dimension, weight in parts():
+            cell = own[example]
+            column = columns.reshape(-1)[cell * dimensions + dimension]
+            for c, matrix in enumerate(matrices):
+                few = np.flatnonzero((column >= 0) & (cell == c))
+                matrix[column[few], at[example[few]] - bounds[c]] = weight[few] * scale[example[few]]
+            rest = np.flatnonzero(column < 0)
+            # In the order of dimensions: sorted as numbers with their own place in the lower bits.
+            by = np.sort(dimension[rest].astype(np.int64) << 32 | rest)
+            rest, one = by & 0xFFFFFFFF, by >> 32
+            first = np.flatnonzero(np.diff(one, prepend=-1))
+            lengths = np.diff(first, append=len(one))
+            to = np.arange(len(one)) + np.repeat(free[one[first]] - first, lengths)
+            postings[to], weights[to] = at[example[rest]], weight[rest]
+            free[one[first]] += lengths
+        runs, start, kept = _runs(ends, postings, weights)
+        scales = np.zeros(len(order))
+        scales[at] = scale
+        cells = [Cell(low, high, c, m, _peaks(m, BLOCK)) for low, high, c, m in zip(bounds[:-1].tolist(), bounds[1:].tolist(), columns, matrices, strict=True)]
+        return cls(len(order), order, scales, runs, start, kept, postings, cells, centres, sketch)
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, best first, ties by example."""
@@ -180,26 +195,22 @@ class BlockMaxIndex:
                     out[i] = found
         return out
 
-    def _sums(self, ids: np.ndarray, values: np.ndarray, room: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        """The postings' sums for every place; `room` has three rows of numbers, as long as the postings of the longest text."""
-        begin, end = self.start[ids], self.start[ids + 1]
-        some = np.flatnonzero(end > begin)
-        begin, end = begin[some], end[some]
-        if not len(some):
-            return np.zeros(self.size)
-        both, places, scaled = (r[: int((end - begin).sum())] for r in room)
-        np.concatenate([self.postings[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)], out=both)  # copied whole, not gathered
-        places[:] = both.view(np.int32)[::2]
-        np.multiply(both.view(np.float32)[1::2], np.repeat(values[some], end - begin), out=scaled)
-        return np.bincount(places, scaled, self.size)
+    def _sums(self, ids: np.ndarray, values: np.ndarray, lists: dict[int, np.ndarray], out: np.ndarray) -> None:
+        """The postings' sums for every place; `lists` keeps what texts compared together share."""
+        first, end = self.runs[ids], self.runs[ids + 1]
+        count = end - first
+        own = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)  # the runs of all dimensions
+        each = np.repeat(np.repeat(values, count) * self.weight[own], self.start[own + 1] - self.start[own])
+        for t, b, e in zip(ids.tolist(), self.start[first].tolist(), self.start[end].tolist(), strict=True):
+            if t not in lists:
+                lists[t] = self.postings[b:e]
+        places = np.concatenate([self.postings[:0], *map(lists.__getitem__, ids.tolist())])  # copied whole, not gathered
+        np.multiply(np.bincount(places, each, self.size), self.scale, out=out, casting="same_kind")
 
     def _group(self, group: np.ndarray, home: int, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
-        sums = np.empty((len(group), self.size), np.float32)
-        spans = [slice(at[i], at[i + 1]) for i in group.tolist()]
-        longest = max(int((self.start[ids[s] + 1] - self.start[ids[s]]).sum()) for s in spans)
-        room = np.empty(longest, np.int64), np.empty(longest, np.int64), np.empty(longest)
-        for j, s in enumerate(spans):
-            sums[j] = self._sums(ids[s], values[s], room)
+        sums, lists = np.empty((len(group), self.size), np.float32), {}
+        for j, i in enumerate(group.tolist()):
+            self._sums(ids[at[i] : at[i + 1]], values[at[i] : at[i + 1]], lists, sums[j])
         own = np.concatenate([np.arange(at[i], at[i + 1]) for i in group])
         row, ids, values = np.repeat(np.arange(len(group)), np.diff(at)[group]), ids[own], values[own]
         least = np.full(len(group), SINGLE)
@@ -246,18 +257,37 @@ def _places(examples: int) -> type:
     return np.uint16 if examples + CELLS * BLOCK < 1 << 16 else np.int32
 
 
-def _frequent(dimension: np.ndarray, size: int, dimensions: int) -> np.ndarray:
+def _frequent(held: np.ndarray, size: int) -> np.ndarray:
     """Places of the dimensions that more than a `DENSE_SHARE`-th of the examples have, most frequent first, `DENSE` at most; -1 for others."""
-    held = np.zeros(dimensions, np.int64)
-    for at in range(0, len(dimension), 1 << 20):
-        held += np.bincount(dimension[at : at + (1 << 20)], minlength=dimensions)
-    common = np.argsort(-held, kind="stable")[:DENSE]
-    common = common[held[common] * DENSE_SHARE > size]
-    column = np.full(dimensions, -1, np.int16)
+    common = np.flatnonzero(held * DENSE_SHARE > size)
+    common = common[np.argsort(-held[common], kind="stable")][:DENSE]
+    column = np.full(len(held), -1, np.int16)
     column[common] = np.arange(len(common))
     return column
 
 
+def _runs(ends: np.ndarray, postings: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first run of a dimension, first posting of a run, its weight); the postings, which begin at `ends`, are put in the order
+    of their runs a slab at a time."""
+    runs, lengths, kept = np.zeros(len(ends), np.int32), [], []
+    low = 0
+    while low < len(ends) - 1:
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + SLAB, side="right")) - 1)
+        span = slice(ends[low], ends[high])
+        # Weights are over 0: in the order of their bits.
+        order = np.repeat(np.arange(high - low), np.diff(ends[low : high + 1])) << 32 | weights[span].view(np.int32)
+        by = np.argsort(order, kind="stable")
+        order, postings[span] = order[by], postings[span][by]
+        first = np.flatnonzero(np.diff(order, prepend=-1))
+        lengths.append(np.diff(first, append=len(order)).astype(np.int32))
+        kept.append(weights[span][by[first]])
+        runs[low + 1 : high + 1] = np.bincount(order[first] >> 32, minlength=high - low)
+        low = high
+    start = np.zeros(sum(map(len, lengths)) + 1, np.int64 if len(postings) >> 31 else np.int32)
+    np.cumsum(np.concatenate([start[:0], *lengths]), out=start[1:])
+    return np.cumsum(runs, dtype=np.int32), start, np.concatenate([weights[:0], *kept])
+
+
 def _peaks(rows: np.ndarray, length: int) -> np.ndarray:
     """The largest of each `length` columns in turn."""
     return rows.reshape(len(rows), rows.shape[1] // length, length).max(axis=2)
@@ -307,6 +337,22 @@ def _packed(batches):
             [batch.column(0)[:1], pa.array([len(steps)], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["order", "size", "payload"])
 
 
+def _unpacked(payloads: list[tuple[int, bytes]]):
+    """The batches that `_packed` made, one at a time."""
+    for _, payload in payloads:
+        yield from pa.ipc.open_stream(payload)
+
+
+def _few(batch):
+    """(numbers of dimensions, dimensions, counts) of UNPACKED examples of the batch at a time."""
+    last = np.int32(0)
+    for low in range(0, batch.num_rows, UNPACKED):
+        few = batch.slice(low, UNPACKED)
+        dimension = np.cumsum(few.column(2).flatten().to_numpy(), dtype=np.int32) + last  # steps go on through the whole batch
+        last = dimension[-1] if len(dimension) else last
+        yield np.diff(few.column(2).offsets.to_numpy()), dimension, few.column(3).flatten().to_numpy()
+
+
 class Learned:
     """The labelled examples as workers need them: `index`, `weights` of the dimensions, `toxic` (1 or 0) and `ids`. It is
     shipped as the packed batches that tasks made, a few bytes a word, and unpacked once per worker: the driver hands
@@ -323,28 +369,25 @@ class Learned:
         held = np.frombuffer(zlib.decompress(held), kind)
         self.weights = np.log((1 + total) / (1 + held)) + 1
         self.weights[DIMENSIONS:] = TELLING * np.array(telling)
-        toxic, ids, lengths, at, size = [], [], [], 0, sum(n for n, _ in payloads)
-        dimension, weight = np.empty(size, np.int32), np.empty(size, np.float32)
-        payloads.reverse()
-        while payloads:  # one at a time: only what the index takes stays
-            for batch in pa.ipc.open_stream(payloads.pop()[1]):
-                last = np.int32(0)
-                for low in range(0, batch.num_rows, UNPACKED):
-                    few = batch.slice(low, UNPACKED)
-                    steps, counts = few.column(2), few.column(3)
-                    sizes = np.diff(steps.offsets.to_numpy())
-                    row, span = np.repeat(np.arange(len(sizes)), sizes), slice(at, at + int(sizes.sum()))
-                    np.cumsum(steps.flatten().to_numpy(), out=dimension[span])
-                    dimension[span] += last  # steps go on through the whole batch
-                    last = dimension[span.stop - 1] if at < span.stop else last
-                    weight[span] = _unit(row, dimension[span], counts.flatten().to_numpy(), self.weights, len(sizes))
-                    lengths.append(sizes)
-                    at = span.stop
-                toxic.append(np.array(batch.column(1).to_numpy(), np.float64))
-                ids += batch.column(0).to_pylist()
-        example = np.repeat(np.arange(len(ids), dtype=_places(len(ids))), np.concatenate(lengths))
+        toxic, ids, scale, own = [], [], [], np.zeros(len(held), np.int64)
+        for batch in _unpacked(payloads):
+            toxic.append(np.array(batch.column(1).to_numpy(), np.float64))
+            ids += batch.column(0).to_pylist()
+            for lengths, dimension, counts in _few(batch):
+                own += np.bincount(dimension, minlength=len(own))
+                row = np.repeat(np.arange(len(lengths)), lengths)
+                squares = np.bincount(row, _weights(dimension, counts, self.weights) ** 2, len(lengths))
+                scale.append(1 / np.sqrt(np.where(squares > 0, squares, 1)))  # an example without words has no weights
+
+        def parts():
+            at = 0
+            for batch in _unpacked(payloads):
+                for lengths, dimension, counts in _few(batch):
+                    yield np.repeat(np.arange(at, at + len(lengths)), lengths), dimension, _weights(dimension, counts, self.weights)
+                    at += len(lengths)
+
         self.toxic, self.ids = np.concatenate(toxic), np.array(ids)
-        self.index = BlockMaxIndex.of(example, dimension, weight, len(ids), len(held))
+        self.index = BlockMaxIndex.made(parts, np.concatenate(scale), own)
 
     def nearest(self, batch, k: int):
         """The k nearest examples of each row of a tally."""
@@ -364,49 +407,47 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
     _words: dict = field(default_factory=dict, repr=False)
-    _told: dict = field(default_factory=dict, repr=False)
+    _single: set[bytes] = field(default_factory=set, repr=False)  # chunks that need a closer look and are one word all the same
+    _heads: set[bytes] | None = field(default=None, repr=False)
 
-    def places(self, chunk: bytes) -> int | tuple[int, ...]:
-        """Dimensions of the chunk's words: a hashed one for each piece, and those of the telling terms it holds. A single one is a number."""
+    def places(self, chunk: bytes) -> tuple[int, ...]:
+        """Numbers of the chunk's words and telling terms: a word's hash over all dimensions, and -1 less the dimension of a telling term."""
         if (known := self._words.get(chunk)) is None:
-            if len(chunk) <= LONG_RUN and chunk.isascii() and chunk[:HEAD].decode() not in self.heads:
-                known = zlib.crc32(chunk) % DIMENSIONS  # a single word, as most are
-            else:
-                parts = [p for w in words_of(chunk) for p in pieces(w)]
-                known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) % DIMENSIONS for p in parts],
-                         *[self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
-                known = known[0] if len(known) == 1 else known
-            if len(self._words) > WORDS_KEPT:
+            parts = [p for w in words_of(chunk) for p in pieces(w)]
+            known = (*[zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in parts],
+                     *[-1 - self.terms[t] for p in parts if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms])
+            if len(self._words) + len(self._single) > WORDS_KEPT:
                 self._words.clear()
-            self._words[chunk] = known
+                self._single.clear()
+            if known == (zlib.crc32(chunk),):
+                self._single.add(chunk)
+            else:
+                self._words[chunk] = known
         return known
 
+    def hashed(self, text: str | None, numbers: array, counts: array) -> None:
+        """Adds the numbers of all words of the text, each with its count; a number can come more than once."""
+        found = Counter(chunks(text))
+        if self._heads is None:
+            self._heads = {h.encode("utf-8", "surrogatepass") for h in self.heads}
+        heads, single = self._heads, self._single
+        for chunk in [c for c in found if (not c.isascii() or len(c) > LONG_RUN or c[:HEAD] in heads) and c not in single]:
+            known, n = self.places(chunk), found.pop(chunk)
+            numbers.extend(known)
+            counts.extend([n] * len(known))
+        numbers.extend(map(zlib.crc32, found))  # single words, as most are
+        counts.extend(found.values())
+
     def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the dimensions of all words of the text, in no order."""
-        found: dict[int, int] = {}
-        known, had = self._words.get, found.get
-        for chunk, n in Counter(chunks(text)).items():
-            at = known(chunk)
-            if at is None:
-                at = self.places(chunk)
-            if at.__class__ is int:
-                found[at] = had(at, 0) + n
-            else:
-                for one in at:
-                    found[one] = had(one, 0) + n
-        return found
-
-    def telling(self, text: str | None) -> set[str]:
-        """The telling terms of the text."""
-        found: set[str] = set()
-        for chunk in set(chunks(text)):
-            if (known := self._told.get(chunk)) is None:
-                known = tuple(t for w in words_of(chunk) for p in pieces(w) if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms)
-                if len(self._told) > WORDS_KEPT:
-                    self._told.clear()
-                self._told[chunk] = known
-            found.update(known)
-        return found
+        """Counts of the dimensions of all words of the text."""
+        numbers, counts = array("q"), array("q")
+        self.hashed(text, numbers, counts)
+        _, dimensions, summed = _tallied([0, len(numbers)], numbers, counts)
+        return dict(zip(dimensions.tolist(), summed.tolist(), strict=True))
+
+    def telling(self, chunk: bytes) -> set[str]:
+        """The telling terms of a chunk."""
+        return {t for w in words_of(chunk) for p in pieces(w) if p[:HEAD] in self.heads for t in word_terms(p) if t in self.terms}
 
     def vote(self, toxic: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic among the neighbours, weighted by cosine, with the prior as one weak neighbour."""
@@ -429,21 +470,50 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def _tallied(at: list[int], numbers: array, counts: array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, dimensions in ascending order, counts) of texts whose numbers are at[i] to at[i + 1] - 1."""
+    hashed = np.array(numbers, np.int64)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = row << 32 | np.where(hashed < 0, -1 - hashed, hashed % DIMENSIONS)
+    by = np.argsort(order)
+    order = order[by]
+    first = np.flatnonzero(np.diff(order, prepend=-1))
+    summed = np.add.reduceat(np.array(counts, np.int64)[by], first) if len(first) else first
+    order = order[first]
+    return np.searchsorted(order, np.arange(len(at)) << 32).astype(np.int32), (order & 0xFFFFFFFF).astype(np.int32), summed.astype(np.int32)
+
+
 def _counted(batches, terms_of):
-    """(term, toxic, n) of whole batches: in how many texts of either label a term is."""
+    """(term, toxic, n) of whole batches: in how many texts of either label a term is. `terms_of` gives those of a chunk; a text's are
+    put together from its chunks' as numbers."""
     for batch in batches:
-        counts = (Counter(), Counter())
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts[toxic].update(terms_of(text))
-        rows = [(t, y, n) for y in (0, 1) for t, n in counts[y].items()]
+        toxic, known, at, found = batch.column(1).to_numpy(), {}, [0], array("i")
+        for text in batch.column(0):
+            found.extend([known.setdefault(c, len(known)) for c in set(chunks(text.as_py()))])
+            at.append(len(found))
+        numbers, ends, terms = {}, array("q", [0]), array("i")
+        for chunk in known:
+            terms.extend([numbers.setdefault(t, len(numbers)) for t in terms_of(chunk)])
+            ends.append(len(terms))
+        found, ends, terms = np.array(found, np.int64), np.array(ends), np.array(terms, np.int64)
+        counts = np.zeros((2, len(numbers)), np.int64)
+        for low in range(0, len(toxic), COUNTED):
+            at_once = at[low : low + COUNTED + 1]
+            own = found[at_once[0] : at_once[-1]]
+            lengths = ends[own + 1] - ends[own]
+            row = np.repeat(np.repeat(np.arange(len(at_once) - 1), np.diff(at_once)), lengths)
+            place = np.arange(len(row)) + np.repeat(ends[own] - np.cumsum(lengths) + lengths, lengths)
+            pairs = np.sort(row << 32 | terms[place])
+            pairs = pairs[np.diff(pairs, prepend=-1) != 0]
+            for y in (0, 1):
+                counts[y] += np.bincount((pairs & 0xFFFFFFFF)[toxic[low + (pairs >> 32)] == y], minlength=len(numbers))
+        label, term = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())],
-            ["term", "toxic", "n"],
-        )
+            [pa.array(list(numbers), pa.string()).take(pa.array(term)), pa.array(label, pa.int32()), pa.array(counts[label, term])], ["term", "toxic", "n"])
 
 
-def _all_terms(text):
-    return {t for c in set(chunks(text)) for w in words_of(c) for p in pieces(w) for t in word_terms(p)}
+def _all_terms(chunk: bytes) -> set[str]:
+    return {t for w in words_of(chunk) for p in pieces(w) for t in word_terms(p)}
 
 
 def _sums(texts: DataFrame, terms_of) -> DataFrame:
@@ -483,17 +553,16 @@ def tally(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> D
     source = df.select(F.col(text).alias("__tallied"), *keep)
 
     def run(batches):
-        for batch in batches:
-            at, terms, counts = array("i", [0]), array("i"), array("i")
-            for t in batch.column(0).to_pylist():
-                found = own.counts(t)
-                terms.extend(found)
-                counts.extend(found.values())
-                at.append(len(terms))
-            places, numbers = np.array(at, np.int32), np.array(terms, np.int64)
-            order = np.argsort(np.repeat(np.arange(len(places) - 1), np.diff(places)) << 32 | numbers)
-            lists = [pa.ListArray.from_arrays(pa.array(places), pa.array(np.array(x, np.int32)[order])) for x in (terms, counts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *lists], [*keep, "__terms", "__counts"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(low, ROWS_AT_ONCE)
+                at, numbers, counts = [0], array("q"), array("q")
+                for t in batch.column(0):
+                    own.hashed(t.as_py(), numbers, counts)
+                    at.append(len(numbers))
+                offsets, *both = _tallied(at, numbers, counts)
+                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in both]
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], *lists], [*keep, "__terms", "__counts"])
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields[1:], *TALLY]))
 
@@ -507,9 +576,16 @@ def _vectors(batch, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return at - at[0], ids, _unit(row, ids, counts.flatten().to_numpy(), weights, batch.num_rows)
 
 
+def _weights(ids: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(1 + log count) times the dimension's; most counts are small, so their logarithms are looked up."""
+    if counts.max(initial=1) < len(LEVELS):
+        return LEVELS[counts] * weights[ids]
+    return (1 + np.log(counts)) * weights[ids]
+
+
 def _unit(row: np.ndarray, ids: np.ndarray, counts: np.ndarray, weights: np.ndarray, rows: int) -> np.ndarray:
     """Weights of the counts, each row scaled to a length of 1."""
-    values = (1 + np.log(counts)) * weights[ids]
+    values = _weights(ids, counts, weights)
     return values / np.sqrt(np.bincount(row, values * values, rows))[row]
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import pickle
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,6 +297,82 @@ def test_an_index_is_built_in_little_memory():
     assert taken(40_000) - taken(10_000) < 15 * 3_000_000  # 34 bytes a word where all of them were masked at once
 
 
+def learned(size: int, words: int, dimensions: int) -> tuple[toxicity.Learned, list[dict[int, int]]]:
+    """Examples of drawn words, as they are shipped, and their counts."""
+    draw = np.random.default_rng(2)
+    rows = [dict(zip(draw.choice(dimensions, words, replace=False).tolist(), draw.choice([1, 1, 1, 2, 5000], words).tolist(), strict=True)) for _ in range(size)]
+    rows[1] = {}
+    packed = []
+    for low in range(0, size, 700):
+        some = [sorted(r.items()) for r in rows[low : low + 700]]
+        lists = [pa.array([[x[i] for x in r] for r in some], pa.list_(pa.int32())) for i in (0, 1)]
+        ids, toxic = pa.array(range(low, low + len(some)), pa.int64()), pa.array([low % 2] * len(some), pa.int32())
+        batch = pa.RecordBatch.from_arrays([ids, ids, toxic, *lists], ["order", "id", "toxic", "__terms", "__counts"])
+        packed += [(r["size"], r["payload"]) for b in toxicity._packed([batch]) for r in b.to_pylist()]
+    held = np.zeros(toxicity.DIMENSIONS, np.int64)
+    held[:dimensions] = 1 + np.arange(dimensions)
+    return toxicity.Learned(packed, held, 2 * dimensions, []), rows
+
+
+def test_shipped_examples_are_compared_exactly():
+    """Postings of equal weight hold it once; neighbours are those of a plain comparison."""
+    packed, rows = learned(1500, 12, 900)
+    own = pickle.loads(pickle.dumps(packed))
+    assert len(own.index.weight) < len(own.index.postings) / 5  # each had its own before
+    assert own.ids.tolist() == list(range(1500))
+    plain = np.zeros((len(rows), 900))
+    for i, r in enumerate(rows):
+        for t, n in r.items():
+            plain[i, t] = (1 + np.log(n)) * own.weights[t]
+    plain /= np.maximum(np.linalg.norm(plain, axis=1), 1e-9)[:, None]
+    asked = range(0, 200)
+    at = np.concatenate([[0], np.cumsum([len(rows[i]) for i in asked])])
+    ids = np.array([t for i in asked for t in sorted(rows[i])], np.int64)
+    values = np.concatenate([plain[i, sorted(rows[i])] for i in asked])
+    for i, (found, near) in zip(asked, own.index.nearest_all(at, ids, values, 10), strict=True):
+        cosines = plain @ plain[i]
+        best = np.sort(cosines)[::-1][:10]
+        assert np.allclose(near, best[best > 1e-5], atol=1e-6) and np.allclose(cosines[found], near, atol=1e-6)
+
+
+def test_shipped_examples_are_unpacked_in_little_memory():
+    """The words of all examples are never in memory at once beside the index."""
+    import tracemalloc
+
+    def peak(size: int) -> int:
+        packed = pickle.dumps(learned(size, 100, 5000)[0])
+        tracemalloc.start()
+        own = pickle.loads(packed)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(own.ids) == size
+        return most
+
+    assert peak(12_000) - peak(4_000) < 16 * 800_000  # 2 bytes a word stay; see the commit for what it was
+
+
+def test_terms_are_counted_by_chunks():
+    texts = ["Ab\u00e9b abe abe 1.2", "abcdefghijk abcdefgh \u00c4\u00d6-\u00fc", None, "", "\u4f60\u597d abcd", LONG, "abe \u00e9t\u00e9 x_y " + "q" * 40] * 60
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([i % 2 for i in range(len(texts))], pa.int32())], ["text", "toxic"])
+    plain = defaultdict(int)
+    for i, text in enumerate(texts):
+        for t in {t for w in toxicity.WORD.findall((text or "").lower()) for p in toxicity.pieces(w) for t in toxicity.word_terms(p)}:
+            plain[t, i % 2] += 1
+    counted = {(r["term"], r["toxic"]): r["n"] for b in toxicity._counted([batch], toxicity._all_terms) for r in b.to_pylist()}
+    assert counted == plain
+    terms = {t: toxicity.DIMENSIONS + i for i, t in enumerate(sorted({t for t, _ in plain})[::2])}
+    model = toxicity.Model(terms, {t.rstrip("$")[: toxicity.HEAD] for t in terms})
+    for text in texts[:14]:  # words met before, too
+        both = defaultdict(int)
+        for word in toxicity.WORD.findall((text or "").lower()):
+            for p in toxicity.pieces(word):
+                both[zlib.crc32(p.encode("utf-8", "surrogatepass")) % toxicity.DIMENSIONS] += 1
+                for t in toxicity.word_terms(p):
+                    if t in terms:
+                        both[terms[t]] += 1
+        assert model.counts(text) == both
+
+
 def test_words_are_found_in_chunks():
     model = toxicity.Model({})
     texts = ["A,b_c  d'e\u00a0f\u2014g 1.2", "\ud800 x", "", None, "\u00c4\u00d6-\u00fc \u4f60\u597d", LONG]
