@@ -195,24 +195,27 @@ class BlockMaxIndex:
                     out[i] = found
         return out
 
-    def _sums(self, ids: np.ndarray, values: np.ndarray, lists: dict[int, np.ndarray], out: np.ndarray) -> None:
-        """The postings' sums for every place; `lists` keeps what texts compared together share."""
-        first, end = self.runs[ids], self.runs[ids + 1]
-        count = end - first
+    def _sums(self, first: np.ndarray, count: np.ndarray, values: np.ndarray, lists: list[np.ndarray], out: np.ndarray) -> None:
+        """The postings' sums for every place: of dimensions with `count` runs from `first` on, whose postings are `lists`."""
         own = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)  # the runs of all dimensions
         each = np.repeat(np.repeat(values, count) * self.weight[own], self.start[own + 1] - self.start[own])
-        for t, b, e in zip(ids.tolist(), self.start[first].tolist(), self.start[end].tolist(), strict=True):
-            if t not in lists:
-                lists[t] = self.postings[b:e]
-        places = np.concatenate([self.postings[:0], *map(lists.__getitem__, ids.tolist())])  # copied whole, not gathered
+        places = np.concatenate([self.postings[:0], *lists]).astype(np.intp)  # copied whole, not gathered
         np.multiply(np.bincount(places, each, self.size), self.scale, out=out, casting="same_kind")
 
     def _group(self, group: np.ndarray, home: int, at: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int):
-        sums, lists = np.empty((len(group), self.size), np.float32), {}
-        for j, i in enumerate(group.tolist()):
-            self._sums(ids[at[i] : at[i + 1]], values[at[i] : at[i + 1]], lists, sums[j])
         own = np.concatenate([np.arange(at[i], at[i + 1]) for i in group])
-        row, ids, values = np.repeat(np.arange(len(group)), np.diff(at)[group]), ids[own], values[own]
+        lengths = np.diff(at)[group]
+        row, ids, values = np.repeat(np.arange(len(group)), lengths), ids[own], values[own]
+        # Each dimension's postings are looked up once for all these texts; those without any are left out.
+        asked, which = np.unique(ids, return_inverse=True)
+        first, end = self.runs[asked], self.runs[asked + 1]
+        lists = [self.postings[b:e] for b, e in zip(self.start[first].tolist(), self.start[end].tolist(), strict=True)]
+        some = np.flatnonzero((end > first)[which])
+        which, bounds = which[some], np.searchsorted(some, np.concatenate([[0], np.cumsum(lengths)]))
+        sums = np.empty((len(group), self.size), np.float32)
+        for j, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            mine = which[low:high]
+            self._sums(first[mine], (end - first)[mine], values[some[low:high]], [lists[i] for i in mine.tolist()], sums[j])
         least = np.full(len(group), SINGLE)
         best: list[list] = [[] for _ in group]
         for c in [home, *[c for c in range(len(self.cells)) if c != home]]:
