@@ -348,7 +348,7 @@ def test_shipped_examples_are_unpacked_in_little_memory():
         assert len(own.ids) == size
         return most
 
-    assert peak(12_000) - peak(4_000) < 16 * 800_000  # 2 bytes a word stay; see the commit for what it was
+    assert peak(12_000) - peak(4_000) < 16 * 800_000  # 31 bytes a word where all of them were unpacked at once, 12 now
 
 
 def test_terms_are_counted_by_chunks():
